@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporio.functions.calendar import month_start
@@ -49,21 +49,17 @@ def trailing(df: DataFrame, date_col: str, as_of: date, days: int = 30) -> DataF
     return df.filter(F.col(date_col).between(F.lit(first), F.lit(as_of)))
 
 
-def rolling_sum(
-    daily: DataFrame, date_col: str, value: str, out: str, days: int, keys: Sequence[str]
+def rolling_sums(
+    daily: DataFrame, date_col: str, values: dict[str, Column], days: int, keys: Sequence[str]
 ) -> DataFrame:
-    """Sum over the ``days`` days ending at each row, per key, for every day of a daily table.
+    """Sums over the ``days`` days ending at each row, per key.
 
-    Each day adds to the ``days`` dates it belongs to, then one aggregation: a
-    hot key spreads over its dates, which a window per key would not allow.
+    ``daily`` has one row per key and day, so a key's window holds at most as
+    many rows as the calendar has days, however hot the key is.
     """
-    spread = daily.select(
-        *keys,
-        F.explode(F.sequence(F.col(date_col), F.date_add(date_col, days - 1))).alias(date_col),
-        F.col(value).alias("__v"),
-    )
-    sums = spread.groupBy(*keys, date_col).agg(F.sum("__v").alias(out))
-    return daily.join(sums, [*keys, date_col], "left")
+    day_number = F.datediff(F.col(date_col), F.lit(date(1970, 1, 1)))
+    window = Window.partitionBy(*keys).orderBy(day_number).rangeBetween(-(days - 1), 0)
+    return daily.select("*", *[F.sum(v).over(window).alias(out) for out, v in values.items()])
 
 
 def last_value(df: DataFrame, keys: Sequence[str], value: str, order: Column, out: str) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporio.functions.calendar import month_start
 from emporio.functions.keys import NO_CAMPAIGN
 from emporio.functions.numeric import count_if_distinct, safe_divide, sum_if
 from emporio.operators.joins import having_any, interval_join
-from emporio.operators.periods import cohort, period_shifts, rolling_sum, trailing
+from emporio.operators.periods import cohort, period_shifts, rolling_sums
 from emporio.operators.ranking import cumulative_share, share_of_total, top_n, top_n_per_group
 from emporio.plans.measures import evaluate, mean
 from emporio.plans.star import Star
@@ -171,11 +171,13 @@ def stock_cover(star: Star, days: int = 30) -> DataFrame:
     """
     keys = ["id_produto_nk", "id_loja_nk"]
     day = "dt_ultima_atualizacao"
-    daily = star["fato_estoque"].select(*keys, day, "qtd_disponivel", "qtd_saida_dia").withColumn("__one", F.lit(1))
-    sold = rolling_sum(daily, day, "qtd_saida_dia", "saida_janela", days, keys)
-    held = rolling_sum(daily, day, "qtd_disponivel", "estoque_janela", days, keys).select(*keys, day, "estoque_janela")
-    seen = rolling_sum(daily, day, "__one", "dias_observados", days, keys).select(*keys, day, "dias_observados")
-    rows = sold.join(held, [*keys, day]).join(seen, [*keys, day])
+    rows = rolling_sums(
+        star["fato_estoque"],
+        day,
+        {"saida_janela": _c("qtd_saida_dia"), "estoque_janela": _c("qtd_disponivel"), "dias_observados": F.lit(1)},
+        days,
+        keys,
+    )
     mean_stock = safe_divide(_c("estoque_janela"), _c("dias_observados"))
     return rows.select(
         *keys,
@@ -203,7 +205,7 @@ def sla_by_carrier(star: Star) -> DataFrame:
     """On-time share and mean lead time per carrier and posting month."""
     deliveries = star["fato_entrega"].withColumn("mes", month_start(_c("dt_postagem")))
     return evaluate(
-        Star({**star.tables, "fato_entrega": deliveries}),
+        star.replacing("fato_entrega", deliveries),
         ["otd_pct", "lead_time_medio", "pedidos_abertos"],
         ["dim_transportadora.nome", "mes"],
     )
@@ -316,8 +318,6 @@ def reactivated_customers(star: Star, inactive_days: int = 90) -> DataFrame:
     Per customer only the distinct purchase days are kept, each looked at with
     its predecessor; the campaigns of a day come from an equi-join on the day.
     """
-    from pyspark.sql import Window
-
     days = _valid(star).select("sk_cliente", _c("dt_pedido_data").alias("dia")).distinct()
     previous = F.lag("dia").over(Window.partitionBy("sk_cliente").orderBy("dia"))
     back = days.withColumn("anterior", previous).filter(F.datediff("dia", "anterior") > inactive_days)
@@ -382,5 +382,3 @@ def seller_performance(star: Star, commissions: DataFrame, targets: DataFrame) -
         .join(sellers, "id_vendedor", "left")
         .withColumn("atingimento", safe_divide(_c("receita"), _c("meta_valor")))
     )
-
-

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from emporio.config import WarehouseConfig
 from emporio.functions.keys import ANONYMOUS, NO_CAMPAIGN, UNKNOWN, UNKNOWN_DATE, surrogate_key
 from emporio.functions.numeric import ratio, round_ratio, safe_divide
-from emporio.operators.dedup import first_per_key
+from emporio.operators.dedup import first_per_key, latest_per_key
 from emporio.operators.joins import join_aggregate, star_lookup
 
 Frames = Mapping[str, DataFrame]
@@ -143,10 +143,8 @@ def stock_snapshots(balances: DataFrame) -> DataFrame:
     Staging keeps one row per product and store, so the history of balances is
     only in the versions; a rebuild of G2 starts from here.
     """
-    return first_per_key(
-        balances,
-        ["id_produto", "id_loja", "dt_ultima_atualizacao"],
-        [F.desc_nulls_last("updated_at"), F.desc_nulls_last("_ingested_at"), F.asc("id_saldo")],
+    return latest_per_key(
+        balances, ["id_produto", "id_loja", "dt_ultima_atualizacao"], ("updated_at", "_ingested_at")
     )
 
 

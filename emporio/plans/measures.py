@@ -251,8 +251,8 @@ def sales_by_period(star: Star, grain: str, name: str = "receita_liquida") -> Da
     """The measure per ``day`` or per month, dated by the month's first day."""
     sales = star["fato_venda"]
     period = F.col("dt_pedido_data") if grain == "day" else month_start(F.col("dt_pedido_data"))
-    shifted = Star({**star.tables, "fato_venda": sales.withColumn("periodo", period)})
-    return evaluate(shifted, [name], ["periodo"])
+    dated = star.replacing("fato_venda", sales.withColumn("periodo", period))
+    return evaluate(dated, [name], ["periodo"])
 
 
 def year_over_year(star: Star, name: str = "receita_liquida") -> DataFrame:
@@ -287,4 +287,4 @@ def ledger_by_month(star: Star, date_role: str = "dt_competencia") -> DataFrame:
     """Ledger value per month of the chosen date role, accrual by default."""
     month = month_start(F.col(date_role))
     ledger = star["fato_financeiro"].withColumn("periodo", month)
-    return evaluate(Star({**star.tables, "fato_financeiro": ledger}), ["valor_lancado"], ["periodo"])
+    return evaluate(star.replacing("fato_financeiro", ledger), ["valor_lancado"], ["periodo"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +54,10 @@ class Star:
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
+    def replacing(self, name: str, df: DataFrame) -> Star:
+        """The same star with one table exchanged."""
+        return Star(ChainMap({name: df}, self.tables))
+
     def _current(self, dim: str) -> DataFrame:
         df = self.tables[dim]
         return df.filter("fl_current") if "fl_current" in df.columns else df
