@@ -27,6 +27,22 @@ CONFIG = WarehouseConfig(
 )
 
 
+_SHARED: dict[tuple[str, int, str], Models] = {}
+
+
+def models(spark: SparkSession, sf_dir: str) -> Models:
+    """Frames of a data directory, shared by the queries of a session.
+
+    Frames are plans, not data: sharing them saves listing the files and
+    analysing the same models again, and nothing is kept in memory.
+    """
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if key not in _SHARED:
+        _SHARED[key] = Models(spark, sf_dir)
+    configure(spark)
+    return _SHARED[key]
+
+
 class Models(Mapping[str, DataFrame]):
     """``src_``/``stg_``/``int_``/``dim_``/``fato_`` frames by name; only what is asked for is built."""
 
@@ -51,12 +67,14 @@ class Models(Mapping[str, DataFrame]):
 
     def source(self, full_name: str) -> DataFrame:
         """An operational table as derived from the given ones."""
-        sql = VIEWS[full_name]
-        return self.spark.sql(sql, **{t: self[t] for t in given_tables(sql)})
+        return self["src_" + full_name]
 
     def _build(self, name: str) -> DataFrame:
         if name in GIVEN:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name.startswith("src_"):
+            sql = VIEWS[name.removeprefix("src_")]
+            return self.spark.sql(sql, **{t: self[t] for t in given_tables(sql)})
         if name == "stg_estoque__saldo_estoque":
             return facts.stock_snapshots(self.source("estoque.saldo_estoque"))
         if name == "stg_vendas__itens_pedido":

@@ -148,7 +148,7 @@ STOCK_SQL = f"""
             sum(qtd_vendida) FILTER (dt_pedido_data BETWEEN DATE '2001-07-02' AND DATE '2001-07-31') AS vendidas_30d,
             {div('sum(margem_bruta_item)', 'sum(valor_liquido_item)')} AS margem_produto_pct FROM mod_venda GROUP BY ALL) v
     FULL JOIN (SELECT sk_produto AS k, {div('sum(qtd_disponivel)', 'count(*)')} AS estoque,
-            arg_max(qtd_disponivel, sk_tempo * 1000 + qtd_disponivel) AS ultimo,
+            arg_max(qtd_disponivel, sk_tempo::BIGINT * 1000 + qtd_disponivel) AS ultimo,
             {div('max(CASE WHEN fl_ruptura THEN 1 ELSE 0 END)', '1')} AS taxa_ruptura FROM mod_estoque GROUP BY ALL) e
       ON v.k = e.k"""
 

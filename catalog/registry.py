@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog.frames import Models
+from catalog.frames import Models, models
 from catalog.source_views import GIVEN, VIEWS, view_name
 
 Builder = Callable[[Models], DataFrame]
@@ -31,13 +31,13 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = self.build(Models(spark, sf_dir))
+        df = self.build(models(spark, sf_dir))
         return df.select(*[F.col(c).cast(_TYPES[t][0]).alias(c) for c, t in self.columns])
 
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
-        casts = ", ".join(f"CAST({c} AS {_TYPES[t][1]}) AS {c}" for c, t in self.columns)
+        casts = ", ".join(f'CAST("{c}" AS {_TYPES[t][1]}) AS "{c}"' for c, t in self.columns)
         return f"{with_clause(self.sql)}SELECT {casts} FROM ({self.sql}) q"
 
 

@@ -8,12 +8,14 @@ whose row count is bounded by configuration go through :func:`broadcast_bounded`
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
-_SALT = "__salt"
+# Rows without a foreign key are scattered over this many sub-keys.
+NULL_SPREAD = 64
 
 
 def broadcast_bounded(df: DataFrame, row_bound: int) -> DataFrame:
@@ -21,38 +23,50 @@ def broadcast_bounded(df: DataFrame, row_bound: int) -> DataFrame:
     return F.broadcast(df) if row_bound <= MAX_BROADCAST_ROWS else df
 
 
-def star_lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | Column,
-    natural_key: str,
-    surrogate: str,
-    default: str | int,
-    alias: str | None = None,
-    row_bound: int | None = None,
-    spread_nulls: int = 0,
-) -> DataFrame:
-    """Replace a natural foreign key by the dimension's surrogate key.
+@dataclass(frozen=True)
+class Lookup:
+    """One foreign key to resolve: natural key ``on`` of the fact to ``surrogate`` of the dimension.
+
+    ``row_bound`` allows a broadcast hint for a dimension of proven size.
+    ``spread_nulls_by`` names a high-cardinality fact column: rows with a NULL
+    key (they match nothing) are scattered by its hash, so that an often-empty
+    key does not pile up in one shuffle partition.
+    """
+
+    dim: DataFrame
+    on: str | Column
+    natural_key: str
+    surrogate: str
+    default: str | int
+    alias: str | None = None
+    row_bound: int | None = None
+    spread_nulls_by: str | None = None
+
+
+def star_lookup(fact: DataFrame, *lookups: Lookup) -> DataFrame:
+    """Add the surrogate key of each lookup, its default where nothing matches.
 
-    Misses get ``default``.  Only current versions are looked up when the
-    dimension is versioned.  ``spread_nulls`` > 0 scatters rows with a NULL
-    foreign key (they match nothing) over that many sub-keys, so that an
-    often-empty key does not pile up in one shuffle partition.
+    Only current versions are looked up when a dimension is versioned.
     """
-    current = dim.filter("fl_current") if "fl_current" in dim.columns else dim
-    out, key = alias or surrogate, "__nk"
-    wanted = current.select(F.col(natural_key).alias(key), F.col(surrogate).alias("__sk"))
-    left = fact.withColumn("__fk", on if isinstance(on, Column) else F.col(on))
-    condition = F.col("__fk") == F.col(key)
-    if spread_nulls:
-        scatter = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(spread_nulls)).cast("int")
-        left = left.withColumn(_SALT, F.when(F.col("__fk").isNull(), scatter).otherwise(0))
-        wanted = wanted.withColumn("__dim_salt", F.lit(0))
-        condition = condition & (F.col(_SALT) == F.col("__dim_salt"))
-    if row_bound is not None:
-        wanted = broadcast_bounded(wanted, row_bound)
-    joined = left.join(wanted, condition, "left")
-    return joined.select(*fact.columns, F.coalesce("__sk", F.lit(default)).alias(out))
+    out = fact
+    for i, look in enumerate(lookups):
+        current = look.dim.filter("fl_current") if "fl_current" in look.dim.columns else look.dim
+        side = current.select(F.col(look.natural_key).alias(f"__nk{i}"), F.col(look.surrogate).alias(f"__sk{i}"))
+        key = F.col(look.on) if isinstance(look.on, str) else look.on
+        condition = key == F.col(f"__nk{i}")
+        if look.spread_nulls_by:
+            scatter = F.when(key.isNull(), F.pmod(F.xxhash64(look.spread_nulls_by), F.lit(NULL_SPREAD))).otherwise(0)
+            # Always zero, but not a constant to the optimizer, which would fold the join key away.
+            zero = F.pmod(F.xxhash64(f"__nk{i}"), F.lit(1))
+            condition = condition & (scatter == zero)
+        if look.row_bound is not None:
+            side = broadcast_bounded(side, look.row_bound)
+        out = out.join(side, condition, "left")
+    keys = [
+        F.coalesce(f"__sk{i}", F.lit(look.default)).alias(look.alias or look.surrogate)
+        for i, look in enumerate(lookups)
+    ]
+    return out.select(*fact.columns, *keys)
 
 
 def join_aggregate(df: DataFrame, aggregate: DataFrame, keys: Sequence[str], zero_cols: Sequence[str] = ()) -> DataFrame:

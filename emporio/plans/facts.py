@@ -15,19 +15,32 @@ from emporio.config import WarehouseConfig
 from emporio.functions.keys import ANONYMOUS, NO_CAMPAIGN, UNKNOWN, UNKNOWN_DATE, surrogate_key
 from emporio.functions.numeric import ratio, round_ratio, safe_divide
 from emporio.operators.dedup import first_per_key, latest_per_key
-from emporio.operators.joins import join_aggregate, star_lookup
+from emporio.operators.joins import Lookup, join_aggregate, star_lookup
 
 Frames = Mapping[str, DataFrame]
 
 CHANNEL_COUNT = 5
-# Rows without a foreign key are scattered over this many sub-keys before a lookup.
-NULL_SPREAD = 64
 
 
-def _date_lookup(fact: DataFrame, dfs: Frames, cfg: WarehouseConfig, day, alias: str) -> DataFrame:
-    return star_lookup(
-        fact, dfs["dim_tempo"], day, "data_full", "sk_tempo", UNKNOWN_DATE, alias, row_bound=cfg.calendar_days
-    )
+# Dimension: natural key, surrogate key, default of a miss.
+_DIMENSION_KEYS = {
+    "dim_cliente": ("id_cliente_nk", "sk_cliente", UNKNOWN),
+    "dim_produto": ("id_produto_nk", "sk_produto", UNKNOWN),
+    "dim_loja": ("id_loja_nk", "sk_loja", UNKNOWN),
+    "dim_canal_venda": ("canal_venda", "sk_canal_venda", UNKNOWN),
+    "dim_campanha": ("id_campanha_nk", "sk_campanha", NO_CAMPAIGN),
+    "dim_transportadora": ("id_transportadora_nk", "sk_transportadora", UNKNOWN),
+    "dim_modalidade_entrega": ("id_modalidade_nk", "sk_modalidade_entrega", UNKNOWN),
+}
+
+
+def _key(dfs: Frames, dim: str, on: str, default: str | None = None, **options) -> Lookup:
+    natural, surrogate, miss = _DIMENSION_KEYS[dim]
+    return Lookup(dfs[dim], on, natural, surrogate, default or miss, **options)
+
+
+def _date(dfs: Frames, cfg: WarehouseConfig, day: str | F.Column, alias: str = "sk_tempo") -> Lookup:
+    return Lookup(dfs["dim_tempo"], day, "data_full", "sk_tempo", UNKNOWN_DATE, alias, row_bound=cfg.calendar_days)
 
 
 def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
@@ -40,16 +53,14 @@ def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
     else:
         commissions = commissions.groupBy("id_pedido").agg(F.sum("valor_comissao").alias("valor_comissao"))
     rows = orders.join(items, "id_pedido").join(commissions, "id_pedido", "left")
-    rows = star_lookup(rows, dfs["dim_cliente"], "id_cliente", "id_cliente_nk", "sk_cliente", UNKNOWN)
-    rows = star_lookup(rows, dfs["dim_produto"], "id_produto", "id_produto_nk", "sk_produto", UNKNOWN)
-    rows = star_lookup(rows, dfs["dim_loja"], "id_loja", "id_loja_nk", "sk_loja", UNKNOWN)
-    rows = _date_lookup(rows, dfs, cfg, "dt_pedido_data", "sk_tempo")
-    rows = star_lookup(
-        rows, dfs["dim_canal_venda"], "canal_venda", "canal_venda", "sk_canal_venda", UNKNOWN, row_bound=CHANNEL_COUNT
-    )
     rows = star_lookup(
-        rows, dfs["dim_campanha"], "id_campanha", "id_campanha_nk", "sk_campanha", NO_CAMPAIGN,
-        spread_nulls=NULL_SPREAD,
+        rows,
+        _key(dfs, "dim_cliente", "id_cliente"),
+        _key(dfs, "dim_produto", "id_produto"),
+        _key(dfs, "dim_loja", "id_loja"),
+        _date(dfs, cfg, "dt_pedido_data"),
+        _key(dfs, "dim_canal_venda", "canal_venda", row_bound=CHANNEL_COUNT),
+        _key(dfs, "dim_campanha", "id_campanha", spread_nulls_by="id_item_pedido"),
     )
     net, discount, status = F.col("valor_liquido_item"), F.col("desconto_item"), F.col("status")
     cost = F.col("qtd_vendida") * F.col("custo_unitario")
@@ -112,9 +123,12 @@ def build_stock(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
         ["id_produto", "id_loja", "dt_ultima_atualizacao"],
         ["qtd_entrada_dia", "qtd_saida_dia", "qtd_pedidos_movs"],
     )
-    rows = star_lookup(rows, dfs["dim_produto"], "id_produto", "id_produto_nk", "sk_produto", UNKNOWN)
-    rows = star_lookup(rows, dfs["dim_loja"], "id_loja", "id_loja_nk", "sk_loja", UNKNOWN)
-    rows = _date_lookup(rows, dfs, cfg, day, "sk_tempo")
+    rows = star_lookup(
+        rows,
+        _key(dfs, "dim_produto", "id_produto"),
+        _key(dfs, "dim_loja", "id_loja"),
+        _date(dfs, cfg, "dt_ultima_atualizacao"),
+    )
     available = F.col("qtd_disponivel")
     return rows.select(
         surrogate_key("id_produto", "id_loja", day).alias("sk_estoque"),
@@ -152,15 +166,14 @@ def build_delivery(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
     """``fato_entrega``: one row per delivery (G3).  The delay is negative when early."""
     orders = dfs["stg_vendas__pedidos"].select("id_pedido", "id_cliente", "canal_venda")
     rows = dfs["stg_logistica__entregas"].drop("updated_at").join(orders, "id_pedido", "left")
-    rows = star_lookup(rows, dfs["dim_cliente"], "id_cliente", "id_cliente_nk", "sk_cliente", UNKNOWN)
-    rows = star_lookup(rows, dfs["dim_loja"], "id_loja_origem", "id_loja_nk", "sk_loja", UNKNOWN)
-    rows = star_lookup(
-        rows, dfs["dim_transportadora"], "id_transportadora", "id_transportadora_nk", "sk_transportadora", UNKNOWN
-    )
     rows = star_lookup(
-        rows, dfs["dim_modalidade_entrega"], "id_modalidade", "id_modalidade_nk", "sk_modalidade_entrega", UNKNOWN
+        rows,
+        _key(dfs, "dim_cliente", "id_cliente"),
+        _key(dfs, "dim_loja", "id_loja_origem"),
+        _key(dfs, "dim_transportadora", "id_transportadora"),
+        _key(dfs, "dim_modalidade_entrega", "id_modalidade"),
+        _date(dfs, cfg, "dt_postagem", "sk_tempo_postagem"),
     )
-    rows = _date_lookup(rows, dfs, cfg, "dt_postagem", "sk_tempo_postagem")
     return rows.select(
         surrogate_key("id_entrega").alias("sk_entrega"),
         "sk_cliente",
@@ -205,8 +218,9 @@ def build_ledger(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
         )
     entries = dfs["stg_financeiro__lancamentos"].drop("updated_at")
     rows = entries.join(receivables.drop("id_conta", "dt_vencimento"), "id_pedido", "left")
-    rows = star_lookup(rows, dfs["dim_loja"], "id_loja", "id_loja_nk", "sk_loja", UNKNOWN)
-    rows = _date_lookup(rows, dfs, cfg, "dt_competencia", "sk_tempo_competencia")
+    rows = star_lookup(
+        rows, _key(dfs, "dim_loja", "id_loja"), _date(dfs, cfg, "dt_competencia", "sk_tempo_competencia")
+    )
     value = F.col("valor")
     return rows.select(
         surrogate_key("id_lancamento").alias("sk_lancamento"),
@@ -247,9 +261,10 @@ def build_sessions(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
     sessions = dfs["stg_web_analytics__sessoes"].drop("updated_at")
     rows = sessions.join(cart_activity(dfs["stg_web_analytics__eventos_carrinho"]), "id_sessao", "left")
     rows = star_lookup(
-        rows, dfs["dim_cliente"], "id_cliente", "id_cliente_nk", "sk_cliente", ANONYMOUS, spread_nulls=NULL_SPREAD
+        rows,
+        _key(dfs, "dim_cliente", "id_cliente", ANONYMOUS, spread_nulls_by="id_sessao"),
+        _date(dfs, cfg, F.to_date("dt_inicio")),
     )
-    rows = _date_lookup(rows, dfs, cfg, F.to_date("dt_inicio"), "sk_tempo")
     counters = ("qtd_produtos_vistos", "qtd_add_cart", "qtd_remove_cart", "qtd_compras")
     return rows.select(
         surrogate_key("id_sessao").alias("sk_sessao"),
@@ -295,8 +310,7 @@ def build_budget(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
         ["id_loja", "canal_venda", "ano", "mes"],
         ["receita_realizada", "margem_realizada", "qtd_pedidos_realizados"],
     ).withColumn("dt_inicio_mes", F.make_date("ano", "mes", F.lit(1)))
-    rows = star_lookup(rows, dfs["dim_loja"], "id_loja", "id_loja_nk", "sk_loja", UNKNOWN)
-    rows = _date_lookup(rows, dfs, cfg, "dt_inicio_mes", "sk_tempo")
+    rows = star_lookup(rows, _key(dfs, "dim_loja", "id_loja"), _date(dfs, cfg, "dt_inicio_mes"))
     revenue, margin = F.col("receita_realizada"), F.col("margem_realizada")
     target, margin_target = F.col("valor_meta_receita"), F.col("valor_meta_margem")
     return rows.select(
