@@ -7,7 +7,7 @@ whose row count is bounded by configuration go through :func:`broadcast_bounded`
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +25,13 @@ def broadcast_bounded(df: DataFrame, row_bound: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Lookup:
-    """One foreign key to resolve: natural key ``on`` of the fact to ``surrogate`` of the dimension.
+    """One foreign key to resolve: natural key ``on`` of the fact to a surrogate key.
+
+    ``surrogate`` names the dimension's key column, or is a function giving the
+    key of a natural key.  With a function the dimension only has to tell which
+    natural keys exist: its side of the join shrinks to distinct ids, cannot
+    multiply fact rows, and the whole join disappears from plans that do not
+    read the surrogate.
 
     ``row_bound`` allows a broadcast hint for a dimension of proven size.
     ``spread_nulls_by`` names a high-cardinality fact column: rows with a NULL
@@ -36,9 +42,9 @@ class Lookup:
     dim: DataFrame
     on: str | Column
     natural_key: str
-    surrogate: str
+    surrogate: str | Callable[[Column], Column]
     default: str | int
-    alias: str | None = None
+    alias: str
     row_bound: int | None = None
     spread_nulls_by: str | None = None
 
@@ -48,24 +54,27 @@ def star_lookup(fact: DataFrame, *lookups: Lookup) -> DataFrame:
 
     Only current versions are looked up when a dimension is versioned.
     """
-    out = fact
+    out, keys = fact, []
     for i, look in enumerate(lookups):
         current = look.dim.filter("fl_current") if "fl_current" in look.dim.columns else look.dim
-        side = current.select(F.col(look.natural_key).alias(f"__nk{i}"), F.col(look.surrogate).alias(f"__sk{i}"))
+        natural = F.col(f"__nk{i}")
+        side = current.select(F.col(look.natural_key).alias(f"__nk{i}"))
+        if isinstance(look.surrogate, str):
+            side = current.select(F.col(look.natural_key).alias(f"__nk{i}"), F.col(look.surrogate).alias(f"__sk{i}"))
+            found = F.col(f"__sk{i}")
+        else:
+            side = side.distinct()
+            found = F.when(natural.isNotNull(), look.surrogate(natural))
+        keys.append(F.coalesce(found, F.lit(look.default)).alias(look.alias))
         key = F.col(look.on) if isinstance(look.on, str) else look.on
-        condition = key == F.col(f"__nk{i}")
+        condition = key == natural
         if look.spread_nulls_by:
             scatter = F.when(key.isNull(), F.pmod(F.xxhash64(look.spread_nulls_by), F.lit(NULL_SPREAD))).otherwise(0)
             # Always zero, but not a constant to the optimizer, which would fold the join key away.
-            zero = F.pmod(F.xxhash64(f"__nk{i}"), F.lit(1))
-            condition = condition & (scatter == zero)
+            condition = condition & (scatter == F.pmod(F.xxhash64(natural), F.lit(1)))
         if look.row_bound is not None:
             side = broadcast_bounded(side, look.row_bound)
         out = out.join(side, condition, "left")
-    keys = [
-        F.coalesce(f"__sk{i}", F.lit(look.default)).alias(look.alias or look.surrogate)
-        for i, look in enumerate(lookups)
-    ]
     return out.select(*fact.columns, *keys)
 
 

@@ -63,21 +63,19 @@ def running_totals(
     celled = df.withColumn("__cell", _cell(order, cuts)).withColumn(
         "__sub", F.when(F.col("__cell") % 2 == 1, _cell(tiebreak, tie_cuts)).otherwise(0)
     )
-    sums = [F.sum(e).alias(f"__{name}") for name, e in totals.items()]
+    sums = [F.sum(e).alias(f"__before_{name}") for name, e in totals.items()]
     before = Window.orderBy(F.desc("__cell"), F.asc("__sub")).rowsBetween(Window.unboundedPreceding, -1)
     # At most (2 * cells) ** 2 rows, whatever the size of the table.
     offsets = celled.groupBy("__cell", "__sub").agg(*sums).select(
-        F.col("__cell").alias("__c"),
-        F.col("__sub").alias("__s"),
-        *[F.coalesce(F.sum(f"__{name}").over(before), F.lit(0)).alias(f"__{name}") for name in totals],
+        F.col("__cell").alias("__at_cell"),
+        F.col("__sub").alias("__at_sub"),
+        *[F.coalesce(F.sum(f"__before_{n}").over(before), F.lit(0)).alias(f"__before_{n}") for n in totals],
     )
     inside = Window.partitionBy("__cell", "__sub").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
-    joined = celled.select(
-        "*", *[F.sum(e).over(inside).alias(f"__in_{name}") for name, e in totals.items()]
-    ).join(F.broadcast(offsets), (F.col("__cell") == F.col("__c")) & (F.col("__sub") == F.col("__s")))
-    return joined.select(
-        *df.columns, *[(F.col(f"__in_{name}") + F.col(f"__{name}")).alias(name) for name in totals]
+    joined = celled.select("*", *[F.sum(e).over(inside).alias(f"__in_{n}") for n, e in totals.items()]).join(
+        F.broadcast(offsets), (F.col("__cell") == F.col("__at_cell")) & (F.col("__sub") == F.col("__at_sub"))
     )
+    return joined.select(*df.columns, *[(F.col(f"__in_{n}") + F.col(f"__before_{n}")).alias(n) for n in totals])
 
 
 def cumulative_share(df: DataFrame, value: str, tiebreak: str, out: str = "cum_share", **options) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporio.config import WarehouseConfig
-from emporio.functions.keys import ANONYMOUS, NO_CAMPAIGN, UNKNOWN, UNKNOWN_DATE, surrogate_key
+from emporio.functions.keys import ANONYMOUS, NO_CAMPAIGN, UNKNOWN, UNKNOWN_DATE, date_key, surrogate_key
 from emporio.functions.numeric import ratio, round_ratio, safe_divide
 from emporio.operators.dedup import first_per_key, latest_per_key
 from emporio.operators.joins import Lookup, join_aggregate, star_lookup
@@ -22,7 +22,7 @@ Frames = Mapping[str, DataFrame]
 CHANNEL_COUNT = 5
 
 
-# Dimension: natural key, surrogate key, default of a miss.
+# Dimension: its natural key, and the fact's column and value for a miss.
 _DIMENSION_KEYS = {
     "dim_cliente": ("id_cliente_nk", "sk_cliente", UNKNOWN),
     "dim_produto": ("id_produto_nk", "sk_produto", UNKNOWN),
@@ -35,12 +35,12 @@ _DIMENSION_KEYS = {
 
 
 def _key(dfs: Frames, dim: str, on: str, default: str | None = None, **options) -> Lookup:
-    natural, surrogate, miss = _DIMENSION_KEYS[dim]
-    return Lookup(dfs[dim], on, natural, surrogate, default or miss, **options)
+    natural, alias, miss = _DIMENSION_KEYS[dim]
+    return Lookup(dfs[dim], on, natural, surrogate_key, default or miss, alias, **options)
 
 
 def _date(dfs: Frames, cfg: WarehouseConfig, day: str | F.Column, alias: str = "sk_tempo") -> Lookup:
-    return Lookup(dfs["dim_tempo"], day, "data_full", "sk_tempo", UNKNOWN_DATE, alias, row_bound=cfg.calendar_days)
+    return Lookup(dfs["dim_tempo"], day, "data_full", date_key, UNKNOWN_DATE, alias, row_bound=cfg.calendar_days)
 
 
 def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
