@@ -20,8 +20,6 @@ from emporio.plans import dimensions as dims
 from emporio.plans.silver import current_prices
 from emporio.sources.reference import channels, date_spine, holidays
 
-ORDER_TIME = F.col("o_orderdate")
-
 
 # -- selection ---------------------------------------------------------------
 

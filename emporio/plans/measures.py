@@ -54,11 +54,39 @@ def mean(value: Column) -> Column:
 
 
 _c = F.col
-_net, _qty = _c("valor_liquido_item"), _c("qtd_vendida")
-_gross = _c("preco_unitario") * _qty
-_order = _c("id_pedido_dg")
-_orders = F.count_distinct(_order)
-_stock = _c("qtd_disponivel")
+
+
+# Functions, not columns: a column can only be made once a session exists.
+def _net() -> Column:
+    return _c("valor_liquido_item")
+
+
+def _qty() -> Column:
+    return _c("qtd_vendida")
+
+
+def _gross() -> Column:
+    return _c("preco_unitario") * _qty()
+
+
+def _order() -> Column:
+    return _c("id_pedido_dg")
+
+
+def _orders() -> Column:
+    return F.count_distinct(_order())
+
+
+def _stock() -> Column:
+    return _c("qtd_disponivel")
+
+
+def _any_row() -> Column:
+    return F.lit(True)
+
+
+def _unpaid() -> Column:
+    return ~_c("fl_pago")
 
 
 def _sales(expression: Callable[[Context], Column]) -> Measure:
@@ -73,33 +101,30 @@ def _share(condition: Column, base: Column) -> Column:
     return safe_divide(F.count_if(condition), F.count_if(base))
 
 
-_any_row = F.lit(True)
-_unpaid = ~_c("fl_pago")
-
 MEASURES: dict[str, Measure | Derived] = {
     # Sales
-    "receita_bruta": _sales(lambda ctx: sum_if(~_c("fl_cancelado"), _gross)),
-    "receita_liquida": _sales(lambda ctx: F.sum(_net)),
-    "receita_liquida_valida": _sales(lambda ctx: sum_if(_c("fl_venda_valida"), _net)),
-    "total_pedidos": _sales(lambda ctx: _orders),
-    "ticket_medio": _sales(lambda ctx: safe_divide(F.sum(_net), _orders)),
-    "unidades_vendidas": _sales(lambda ctx: F.sum(_qty)),
-    "taxa_desconto": _sales(lambda ctx: safe_divide(F.sum("desconto_item"), F.sum(_gross))),
-    "taxa_devolucao": _sales(lambda ctx: safe_divide(count_if_distinct(_c("fl_devolvido"), _order), _orders)),
+    "receita_bruta": _sales(lambda ctx: sum_if(~_c("fl_cancelado"), _gross())),
+    "receita_liquida": _sales(lambda ctx: F.sum(_net())),
+    "receita_liquida_valida": _sales(lambda ctx: sum_if(_c("fl_venda_valida"), _net())),
+    "total_pedidos": _sales(lambda ctx: _orders()),
+    "ticket_medio": _sales(lambda ctx: safe_divide(F.sum(_net()), _orders())),
+    "unidades_vendidas": _sales(lambda ctx: F.sum(_qty())),
+    "taxa_desconto": _sales(lambda ctx: safe_divide(F.sum("desconto_item"), F.sum(_gross()))),
+    "taxa_devolucao": _sales(lambda ctx: safe_divide(count_if_distinct(_c("fl_devolvido"), _order()), _orders())),
     "margem_bruta_valor": _sales(lambda ctx: F.sum("margem_bruta_item")),
-    "margem_bruta_pct": _sales(lambda ctx: safe_divide(F.sum("margem_bruta_item"), F.sum(_net))),
-    "cmv": _sales(lambda ctx: F.sum(_qty * _c("custo_unitario"))),
+    "margem_bruta_pct": _sales(lambda ctx: safe_divide(F.sum("margem_bruta_item"), F.sum(_net()))),
+    "cmv": _sales(lambda ctx: F.sum(_qty() * _c("custo_unitario"))),
     # Freight is an order value repeated on every item; see freight_share_by_order for the other reading.
-    "frete_pct_receita": _sales(lambda ctx: safe_divide(F.sum("valor_frete_pedido"), F.sum(_net))),
-    "receita_atribuida": _sales(lambda ctx: sum_if(_c("sk_campanha") != NO_CAMPAIGN, _net)),
+    "frete_pct_receita": _sales(lambda ctx: safe_divide(F.sum("valor_frete_pedido"), F.sum(_net()))),
+    "receita_atribuida": _sales(lambda ctx: sum_if(_c("sk_campanha") != NO_CAMPAIGN, _net())),
     # Literal reading: the key is never blank, so this keeps every sale.
-    "receita_atribuida_literal": _sales(lambda ctx: sum_if(_c("sk_campanha").isNotNull(), _net)),
+    "receita_atribuida_literal": _sales(lambda ctx: sum_if(_c("sk_campanha").isNotNull(), _net())),
     "clientes_ativos_90d": _sales(
         lambda ctx: count_if_distinct(
             _c("fl_venda_valida") & (_c("dt_pedido_data") >= ctx.days_back(90)), _c("sk_cliente")
         )
     ),
-    "venda_media_diaria_30d": _sales(lambda ctx: safe_divide(sum_if(_last_30_days(ctx), _qty), F.lit(30))),
+    "venda_media_diaria_30d": _sales(lambda ctx: safe_divide(sum_if(_last_30_days(ctx), _qty()), F.lit(30))),
     # Customers
     "clientes": Measure("dim_cliente", lambda ctx: F.count_distinct("sk_cliente")),
     "ltv_medio": Measure("dim_cliente", lambda ctx: mean(_c("ltv"))),
@@ -111,18 +136,18 @@ MEASURES: dict[str, Measure | Derived] = {
         ),
     ),
     # Stock
-    "estoque_medio": Measure("fato_estoque", lambda ctx: mean(_stock)),
+    "estoque_medio": Measure("fato_estoque", lambda ctx: mean(_stock())),
     "ultimo_estoque": Measure(
         "fato_estoque",
         # On the newest day with a balance; the larger balance when a day has several.
-        lambda ctx: F.max(F.when(_stock.isNotNull(), F.struct("sk_tempo", "qtd_disponivel")))["qtd_disponivel"],
+        lambda ctx: F.max(F.when(_stock().isNotNull(), F.struct("sk_tempo", "qtd_disponivel")))["qtd_disponivel"],
     ),
     "taxa_ruptura": Measure(
         "fato_estoque",
         lambda ctx: safe_divide(count_if_distinct(_c("fl_ruptura"), _c("sk_produto")), F.count_distinct("sk_produto")),
     ),
     # Logistics
-    "otd_pct": Measure("fato_entrega", lambda ctx: _share(_c("fl_sla_atendido"), _any_row)),
+    "otd_pct": Measure("fato_entrega", lambda ctx: _share(_c("fl_sla_atendido"), _any_row())),
     "otd_entregues_pct": Measure(
         "fato_entrega", lambda ctx: _share(_c("fl_sla_atendido"), _c("fl_entregue"))
     ),
@@ -133,10 +158,10 @@ MEASURES: dict[str, Measure | Derived] = {
     "receita_bruta_ff": Measure("fato_financeiro", lambda ctx: sum_if(_c("tipo") == "receita", _c("valor"))),
     "valor_lancado": Measure("fato_financeiro", lambda ctx: F.sum("valor")),
     "cr_vencer": Measure(
-        "fato_financeiro", lambda ctx: sum_if(_unpaid & (_c("dt_pagamento") >= F.lit(ctx.as_of)), _c("valor"))
+        "fato_financeiro", lambda ctx: sum_if(_unpaid() & (_c("dt_pagamento") >= F.lit(ctx.as_of)), _c("valor"))
     ),
     "cr_vencido": Measure(
-        "fato_financeiro", lambda ctx: sum_if(_unpaid & (_c("dt_pagamento") < F.lit(ctx.as_of)), _c("valor"))
+        "fato_financeiro", lambda ctx: sum_if(_unpaid() & (_c("dt_pagamento") < F.lit(ctx.as_of)), _c("valor"))
     ),
     "budget_receita": Measure("fato_orcamento", lambda ctx: F.sum("valor_meta_receita")),
     "realizado_receita": Measure("fato_orcamento", lambda ctx: F.sum("receita_realizada")),
@@ -151,7 +176,7 @@ MEASURES: dict[str, Measure | Derived] = {
     ),
     # Web and marketing
     "sessoes": Measure("fato_cliente_interacao", lambda ctx: F.count("sk_sessao")),
-    "taxa_conversao": Measure("fato_cliente_interacao", lambda ctx: _share(_c("converteu"), _any_row)),
+    "taxa_conversao": Measure("fato_cliente_interacao", lambda ctx: _share(_c("converteu"), _any_row())),
     "taxa_abandono_carrinho": Measure(
         "fato_cliente_interacao", lambda ctx: _share(_c("fl_abandono_carrinho"), _c("qtd_add_cart") > 0)
     ),
@@ -277,8 +302,8 @@ def freight_share_by_order(star: Star, group_by: Sequence[str] = ()) -> DataFram
     df = star.flat("fato_venda", group_by)
     groups = star.grouping("fato_venda", group_by)
     keys = [g.split(".")[-1] for g in group_by]
-    orders = df.groupBy(*groups, _order.alias("__order")).agg(
-        F.max("valor_frete_pedido").alias("frete"), F.sum(_net).alias("receita")
+    orders = df.groupBy(*groups, _order().alias("__order")).agg(
+        F.max("valor_frete_pedido").alias("frete"), F.sum(_net()).alias("receita")
     )
     return orders.groupBy(*keys).agg(safe_divide(F.sum("frete"), F.sum("receita")).alias("frete_pct_receita_pedido"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,8 @@ from emporio.operators.scd2 import scd2_apply
 from emporio.plans import dimensions as dims
 from emporio.plans import facts, silver
 from emporio.plans.staging import refresh_staging
-from emporio.registry import TABLES, TABLES_BY_NAME
+from emporio.registry import TABLES, TABLES_BY_NAME, TableEntry
+from emporio.sinks.export import run_all
 from emporio.sinks.tables import Warehouse, month_partition
 from emporio.sources.bronze import read_bronze
 from emporio.sources.reference import read_seed
@@ -123,33 +124,43 @@ def build_all(dfs: dict[str, DataFrame], spark: SparkSession, cfg: WarehouseConf
 class Transform:
     """Stored warehouse: staging, intermediates, dimensions, facts, in that order."""
 
-    def __init__(self, spark: SparkSession, cfg: WarehouseConfig):
-        self.spark, self.cfg = spark, cfg
+    def __init__(self, spark: SparkSession, cfg: WarehouseConfig, parallel: int = 8):
+        self.spark, self.cfg, self.parallel = spark, cfg, parallel
         self.warehouse = Warehouse(spark, cfg.warehouse_root)
         self.frames: dict[str, DataFrame] = {}
 
     def run(self) -> dict[str, DataFrame]:
         """Refresh every model; returns the stored tables by name."""
         cfg, w = self.cfg, self.warehouse
-        for entry in TABLES:
-            self.frames[entry.staging_name] = refresh_staging(
-                self.spark, entry, cfg.bronze_root, w, cfg.full_refresh
-            )
-        self._refresh("int_vendas__pedidos_unificados")
-        self._store("int_clientes__unificados", silver.build_customers(self.frames, cfg))
-        self._store("int_produtos__catalogo", silver.build_catalog(self.frames, cfg))
+
+        def stage(entry: TableEntry) -> None:
+            self.frames[entry.staging_name] = refresh_staging(self.spark, entry, cfg.bronze_root, w, cfg.full_refresh)
+
         seed = read_seed(self.spark, cfg.holiday_seed) if cfg.holiday_seed else None
-        self._store("dim_tempo", dims.build_calendar(self.spark, cfg, seed))
-        self._store("dim_canal_venda", dims.build_channel(self.spark))
-        for name, build in DIMENSIONS.items():
-            self._store_dimension(name, build(self.frames, cfg))
-        for name in INCREMENTAL:
-            if name.startswith("fato_"):
-                self._refresh(name)
+        self._together({e.staging_name: partial(stage, e) for e in TABLES})
+        self._together(
+            {
+                "orders": lambda: self._refresh("int_vendas__pedidos_unificados"),
+                "customers": lambda: self._store("int_clientes__unificados", silver.build_customers(self.frames, cfg)),
+                "catalog": lambda: self._store("int_produtos__catalogo", silver.build_catalog(self.frames, cfg)),
+                "calendar": lambda: self._store("dim_tempo", dims.build_calendar(self.spark, cfg, seed)),
+                "channels": lambda: self._store("dim_canal_venda", dims.build_channel(self.spark)),
+            }
+        )
+        self._together(
+            {n: (lambda n=n, b=b: self._store_dimension(n, b(self.frames, cfg))) for n, b in DIMENSIONS.items()}
+        )
+        self._together({n: partial(self._refresh, n) for n in INCREMENTAL if n.startswith("fato_")})
         # Budgets compare with all sales of their month, so a new sale changes old rows: rebuilt whole.
         self._store("fato_orcamento", facts.build_budget(self.frames, cfg))
         return self.frames
 
+    def _together(self, tasks: dict[str, Callable[[], object]]) -> None:
+        """Run the independent steps of a layer side by side; all finish before a failure is raised."""
+        failed = [r for r in run_all(tasks, self.parallel) if not r.ok]
+        if failed:
+            raise RuntimeError("; ".join(f"{r.name}: {r.error}" for r in failed))
+
     def _store(self, name: str, df: DataFrame) -> None:
         self.frames[name] = self.warehouse.overwrite(df, name)
 

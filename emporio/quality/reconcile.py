@@ -42,7 +42,8 @@ def deviation(gold: Column, source: Column) -> Column:
     )
 
 
-_rows = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _since(column: str, day: date) -> Column:
@@ -53,13 +54,13 @@ def _both(name, label, gold_table, source_table, gold_day, source_day, aggregate
     """The same aggregate on both sides, over the last two days when day columns are given."""
 
     def side(table, column):
-        return lambda day: (table, _since(column, day) if column else None, aggregate)
+        return lambda day: (table, _since(column, day) if column else None, aggregate())
 
     return Check(name, label, side(gold_table, gold_day), side(source_table, source_day), tolerance)
 
 
-def _rounded(column: str) -> Column:
-    return F.round(F.sum(column), 2)
+def _rounded(column: str) -> Callable[[], Column]:
+    return lambda: F.round(F.sum(column), 2)
 
 
 CHECKS: tuple[Check, ...] = (
@@ -75,7 +76,7 @@ CHECKS: tuple[Check, ...] = (
         "fato_estoque.count", "rows of the newest snapshot",
         # Rows at the largest key: counted per key, then the largest key's count is taken.
         lambda day: ("fato_estoque:newest", None, F.max_by("rows", "sk_tempo")),
-        lambda day: ("estoque.saldo_estoque", F.col("qtd_disponivel") >= 0, _rows),
+        lambda day: ("estoque.saldo_estoque", F.col("qtd_disponivel") >= 0, _rows()),
         EXACT,
     ),
     _both("fato_entrega.count", "deliveries of two days", "fato_entrega", "logistica.entregas",
@@ -86,9 +87,9 @@ CHECKS: tuple[Check, ...] = (
           "dt_lancamento", "dt_lancamento", _rounded("valor")),
     Check(
         "fato_cliente_interacao.count_sessoes", "sessions of two days",
-        lambda day: ("fato_cliente_interacao", _since("dt_sessao", day), _rows),
+        lambda day: ("fato_cliente_interacao", _since("dt_sessao", day), _rows()),
         lambda day: (
-            "web_analytics.sessoes", F.to_date("dt_inicio") >= F.lit(day - timedelta(days=2)), _rows
+            "web_analytics.sessoes", F.to_date("dt_inicio") >= F.lit(day - timedelta(days=2)), _rows()
         ),
         EXACT,
     ),
@@ -110,7 +111,7 @@ def _scalar(frames: Frames, side: tuple[str, Column | None, Column], name: str)
     table, condition, aggregate = side
     if table.endswith(":newest"):
         base = frames[table.split(":")[0]]
-        df = base.groupBy("sk_tempo").agg(_rows.alias("rows"))
+        df = base.groupBy("sk_tempo").agg(_rows().alias("rows"))
     else:
         df = frames[table]
     if condition is not None:

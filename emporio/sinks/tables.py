@@ -9,17 +9,19 @@ partitions instead and replace only those a batch touches.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emporio.operators.incremental import between
 from emporio.operators.upsert import align, upsert
 from emporio.sources.bronze import path_exists
 
-LOG_SCHEMA = "snapshot long, batch_id long, mark timestamp, committed_at timestamp"
+LOG_SCHEMA = "snapshot long, batch_id long, mark timestamp, schema string, committed_at timestamp"
 PARTITION = "particao"
 
 
@@ -29,36 +31,47 @@ def month_partition(day: Column) -> Column:
 
 
 class Warehouse:
-    """Named tables under one root."""
+    """Named tables under one root, each written by one job at a time."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # Commit state per table as of this object's last look; its own commits refresh it.
+        self._states: dict[str, Row | None] = {}
 
     # -- state ---------------------------------------------------------------
 
-    def _state(self, name: str):
-        """Current snapshot number, last stream batch and high-water mark (all may be NULL)."""
+    def _state(self, name: str) -> Row | None:
+        """Current snapshot number and schema, last stream batch, high-water mark; ``None`` before any commit."""
+        if name not in self._states:
+            self._states[name] = self._load_state(name)
+        return self._states[name]
+
+    def _load_state(self, name: str) -> Row | None:
         path = f"{self.root}/{name}/_commits"
         if not path_exists(self.spark, path):
             return None
-        log = self.spark.read.schema(LOG_SCHEMA).parquet(path)
-        # The mark comes back as text and is compared in UTC, whatever the driver's clock zone.
-        return log.agg(F.max("snapshot").alias("snapshot"), F.max("batch_id").alias("batch_id"),
-                       F.unix_micros(F.max("mark")).alias("mark")).first()
+        # The mark comes back as a number, so the zone of the driver's clock does not matter.
+        return self.spark.read.schema(LOG_SCHEMA).parquet(path).agg(
+            F.max("snapshot").alias("snapshot"),
+            F.max("batch_id").alias("batch_id"),
+            F.unix_micros(F.max("mark")).alias("mark"),
+            F.max_by("schema", "committed_at").alias("schema"),
+        ).first()
 
     def _snapshot(self, name: str) -> int:
         state = self._state(name)
         return (state["snapshot"] or 0) if state else 0
 
-    def _commit(self, name: str, snapshot: int, batch_id: int | None = None, mark: datetime | None = None) -> None:
-        row = [(snapshot, batch_id, mark, datetime.now(timezone.utc))]
+    def _commit(self, name: str, snapshot: int, schema: T.StructType, batch_id: int | None, mark: datetime | None) -> None:
+        row = [(snapshot, batch_id, mark, schema.json(), datetime.now(timezone.utc))]
         (
             self.spark.createDataFrame(row, LOG_SCHEMA)
             .coalesce(1)
             .write.mode("append")
             .parquet(f"{self.root}/{name}/_commits")
         )
+        self._states.pop(name, None)
 
     def exists(self, name: str) -> bool:
         return self._snapshot(name) > 0
@@ -80,9 +93,12 @@ class Warehouse:
         return f"{self.root}/{name}/snapshot={self._snapshot(name)}"
 
     def _stored(self, name: str) -> DataFrame:
-        if not self.exists(name):
+        state = self._state(name)
+        if not state or not state["snapshot"]:
             raise FileNotFoundError(f"table {name} has no committed snapshot under {self.root}")
-        return self.spark.read.parquet(self.path(name))
+        # With the recorded schema there is no footer to open, and a table without rows reads as empty.
+        schema = T.StructType.fromJson(json.loads(state["schema"]))
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/snapshot={state['snapshot']}")
 
     def read(self, name: str) -> DataFrame:
         return self._stored(name).drop(PARTITION)
@@ -113,7 +129,7 @@ class Warehouse:
         if partition is not None:
             writer = writer.partitionBy(PARTITION)
         writer.parquet(f"{self.root}/{name}/snapshot={snapshot}")
-        self._commit(name, snapshot, batch_id, mark)
+        self._commit(name, snapshot, out.schema, batch_id, mark)
         return self.read(name)
 
     def upsert(
@@ -150,8 +166,9 @@ class Warehouse:
         path = f"{self.root}/{name}/snapshot={snapshot}"
         work = f"{self.root}/{name}/_staged/{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}"
         # The batch is read several times below; store it once instead of recomputing its plan.
-        batch.withColumn(PARTITION, partition).write.parquet(f"{work}/batch")
-        batch = self.spark.read.parquet(f"{work}/batch")
+        batch = batch.withColumn(PARTITION, partition)
+        batch.write.parquet(f"{work}/batch")
+        batch = self.spark.read.schema(batch.schema).parquet(f"{work}/batch")
         held = target.select(*keys, PARTITION).join(batch.select(*keys), list(keys), "left_semi")
         touched = batch.select(PARTITION).union(held.select(PARTITION)).distinct()
         # One value per partition directory: the driver keeps such a list for any partitioned table.
@@ -170,7 +187,7 @@ class Warehouse:
             filled = {r[0] for r in ready.select(PARTITION).distinct().collect()}
             for value in values - filled:
                 self._delete(f"{path}/{PARTITION}={value}")
-        self._commit(name, snapshot, batch_id, mark)
+        self._commit(name, snapshot, batch.schema, batch_id, mark)
         return self.read(name)
 
     def _delete(self, path: str) -> None:

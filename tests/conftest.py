@@ -16,9 +16,10 @@ from emporio.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "emporio-tests",
-        "local[4]",
+        "local[8]",
         **{
             "spark.sql.shuffle.partitions": "4",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.driver.host": "127.0.0.1",
