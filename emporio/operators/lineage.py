@@ -1,0 +1,21 @@
+"""Reusing an expensive intermediate across several passes."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """The same rows, stored once when the cluster names a shared ``spark.checkpoint.dir``.
+
+    For frames read by more than one job: later passes read files instead of
+    repeating the plan, agree with one another, and survive lost executors.
+    Without that setting (local runs) the plan is simply evaluated again.
+    """
+    spark = df.sparkSession
+    directory = spark.conf.get("spark.checkpoint.dir", None)
+    if not directory:
+        return df
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(directory)
+    return df.checkpoint()

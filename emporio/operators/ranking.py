@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporio.functions.numeric import safe_divide
+from emporio.operators.lineage import stable
 
 CELLS = 128
 # A table proven this small is ordered in one task.
@@ -53,6 +54,7 @@ def running_totals(
     ``totals`` maps output names to the summed expressions.
     """
     ordering = [F.desc(order), F.asc(tiebreak)]
+    df = stable(df)
     cuts, n = _cut_points(df, order, cells)
     if n <= one_task_rows or not cuts:
         # Size checked above, so one task is enough.
@@ -80,6 +82,7 @@ def running_totals(
 
 def cumulative_share(df: DataFrame, value: str, tiebreak: str, out: str = "cum_share", **options) -> DataFrame:
     """Share of the total reached when adding rows from the largest ``value`` down."""
+    df = stable(df)
     total = df.agg(F.sum(value).alias("__total"))
     ranked = running_totals(df, value, tiebreak, {"__running": F.col(value)}, **options)
     return ranked.withColumn(out, safe_divide(F.col("__running"), total.scalar())).drop("__running")
