@@ -30,6 +30,15 @@ def month_partition(day: Column) -> Column:
     return F.coalesce(F.year(day) * 100 + F.month(day), F.lit(0))
 
 
+def _by_partition(df: DataFrame) -> DataFrame:
+    """Rows of a partition brought together for writing, so tasks do not each write a file per partition.
+
+    A rebalance, not a repartition: a partition holding much of the table is
+    split over several tasks, and small ones share a task.
+    """
+    return df.hint("rebalance", F.col(PARTITION))
+
+
 class Warehouse:
     """Named tables under one root, each written by one job at a time."""
 
@@ -124,7 +133,7 @@ class Warehouse:
         """Full rebuild (K6): write the next snapshot, then make it current."""
         snapshot = self._snapshot(name) + 1
         # A directory left by a run that died before its commit is replaced here.
-        out = df if partition is None else df.withColumn(PARTITION, partition)
+        out = df if partition is None else _by_partition(df.withColumn(PARTITION, partition))
         writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition is not None:
             writer = writer.partitionBy(PARTITION)
@@ -175,7 +184,8 @@ class Warehouse:
         values = {r[0] for r in touched.collect()}
         if values:
             current = align(target.filter(F.col(PARTITION).isin(*values)), batch.schema)
-            upsert(current, batch, keys, order_by).write.partitionBy(PARTITION).parquet(f"{work}/merged")
+            merged = _by_partition(upsert(current, batch, keys, order_by))
+            merged.write.partitionBy(PARTITION).parquet(f"{work}/merged")
             ready = self.spark.read.schema(batch.schema).parquet(f"{work}/merged")
             (
                 ready.write.mode("overwrite")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import at, source_rows
 from emporio.config import WarehouseConfig
+from emporio.jobs import ingest, monitor, transform
 from emporio.plans.dimensions import build_store
 from emporio.plans.warehouse import Transform
 from emporio.quality.freshness import bronze_freshness, check_volume, gold_freshness
@@ -148,3 +149,23 @@ def test_export_audit_and_statistics(spark, runs, tmp_path):
     detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
     assert "1 rows" in detail["Statistics"]
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_command_line_jobs(spark, runs, tmp_path, capsys):
+    cfg, _, _, _ = runs
+    roots = ["--bronze", cfg.bronze_root, "--warehouse", cfg.warehouse_root]
+    assert ingest.main(["--mode", "full", "--table", "rh.nada"]) == 1
+    assert "rh.nada" in capsys.readouterr().err
+    assert transform.main([*roots, "--as-of", "2026-07-20"]) == 1  # mandatory tables without any file
+    assert "marketing.leads" in capsys.readouterr().err
+    land(spark, cfg.bronze_root, "2026-07-20 06:00", {
+        "financeiro.parcelas": [dict(id_parcela=1, id_lancamento=1, numero_parcela=1, valor_parcela=D("9.00"), status="pago")],
+        "marketing.leads": [dict(id_lead=1, id_campanha=7)],
+        "marketing.atribuicao": [dict(id_atribuicao=1, id_pedido=6, id_campanha=7)],
+    })
+    out = str(tmp_path / "gold")
+    assert transform.main([*roots, "--as-of", "2026-07-20", "--skip-tests", "--export", out]) == 0
+    assert len(list((tmp_path / "gold").iterdir())) == 16
+    assert monitor.main(["freshness", *roots, "--tolerance-hours", "1", "--output", str(tmp_path / "report")]) == 1
+    report = spark.read.json(str(tmp_path / "report"))
+    assert report.filter("severity = 'error'").count() == 11 and report.filter("severity = 'warning'").count() == 8
