@@ -70,17 +70,13 @@ def last_value(df: DataFrame, keys: Sequence[str], value: str, order: Column, ou
 def cohort(df: DataFrame, who: str, when: str) -> DataFrame:
     """Active members per first-activity month and months since.
 
-    Activity is first reduced to one row per member and month, so the number of
-    events of a member does not matter afterwards.
+    Activity is first reduced to one row per member and month, so however many
+    events a member has, their window holds at most one row per calendar month.
     """
     active = df.select(F.col(who).alias("who"), month_start(F.col(when)).alias("month")).distinct()
-    first = active.groupBy("who").agg(F.min("month").alias("cohort"))
+    since = active.withColumn("cohort", F.min("month").over(Window.partitionBy("who")))
     offset = F.months_between("month", "cohort").cast("int")
     # One row per member and month, so counting rows counts members.
-    sizes = (
-        active.join(first, "who")
-        .groupBy("cohort", offset.alias("offset"))
-        .agg(F.count(F.lit(1)).alias("active"))
-    )
-    base = sizes.filter("offset = 0").select("cohort", F.col("active").alias("base"))
-    return sizes.join(base, "cohort").select("cohort", "offset", "active", "base")
+    sizes = since.groupBy("cohort", offset.alias("offset")).agg(F.count(F.lit(1)).alias("active"))
+    base = F.max(F.when(F.col("offset") == 0, F.col("active"))).over(Window.partitionBy("cohort"))
+    return sizes.withColumn("base", base)

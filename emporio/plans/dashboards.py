@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporio.functions.calendar import month_start
-from emporio.functions.keys import NO_CAMPAIGN
-from emporio.functions.numeric import count_if_distinct, safe_divide, sum_if
+from emporio.functions.numeric import safe_divide
 from emporio.operators.joins import having_any, interval_join
 from emporio.operators.periods import cohort, period_shifts, rolling_sums
 from emporio.operators.ranking import cumulative_share, share_of_total, top_n, top_n_per_group
@@ -38,9 +37,11 @@ def retention(star: Star) -> DataFrame:
     Retention is returning over the previous month's base.
     """
     active = monthly_activity(_valid(star))
-    before = active.select("sk_cliente", F.add_months("mes", 1).alias("mes"), F.lit(1).alias("voltou"))
-    months = active.join(before, ["sk_cliente", "mes"], "left").groupBy("mes").agg(
-        F.count(F.lit(1)).alias("ativos"), F.count("voltou").alias("recorrentes")
+    # One row per customer and month, so a customer's window is as short as the calendar.
+    before = F.lag("mes").over(Window.partitionBy("sk_cliente").orderBy("mes"))
+    returning = before == F.add_months("mes", -1)
+    months = active.select("mes", returning.alias("voltou")).groupBy("mes").agg(
+        F.count(F.lit(1)).alias("ativos"), F.count_if(_c("voltou")).alias("recorrentes")
     )
     with_base = period_shifts(months, "mes", "ativos", {"base_anterior": (1, 0)})
     return with_base.withColumn("taxa_retencao", safe_divide(_c("recorrentes"), _c("base_anterior")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporio.config import WarehouseConfig
@@ -39,7 +39,7 @@ def _key(dfs: Frames, dim: str, on: str, default: str | None = None, **options)
     return Lookup(dfs[dim], on, natural, surrogate_key, default or miss, alias, **options)
 
 
-def _date(dfs: Frames, cfg: WarehouseConfig, day: str | F.Column, alias: str = "sk_tempo") -> Lookup:
+def _date(dfs: Frames, cfg: WarehouseConfig, day: str | Column, alias: str = "sk_tempo") -> Lookup:
     return Lookup(dfs["dim_tempo"], day, "data_full", date_key, UNKNOWN_DATE, alias, row_bound=cfg.calendar_days)
 
 

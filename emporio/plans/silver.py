@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporio.config import WarehouseConfig
@@ -18,7 +18,7 @@ Frames = Mapping[str, DataFrame]
 CANCELLED, RETURNED = "cancelado", "devolvido"
 
 
-def final_status(status: F.Column | str, approved_returns) -> F.Column:
+def final_status(status: str | Column, approved_returns: Column) -> Column:
     """Cancelled beats returned beats the recorded status.
 
     The remaining levels of the hierarchy (delivered, shipped) equal the

@@ -6,7 +6,6 @@ import pytest
 
 from conftest import at, day
 from emporio import privacy
-from pyspark.sql import functions as F
 
 
 @pytest.mark.parametrize("key", ["k", "chave com acentos é", "x" * 200])
