@@ -49,6 +49,33 @@ def test_star_lookup(spark, spread, surrogate):
     assert {r["id"]: r["out"] for r in got} == {1: "S10", 2: "MISS", 3: "MISS", 4: "S10"}
 
 
+def test_hot_key_of_a_lookup_is_split(spark):
+    """A third of the rows on one key, and a dimension too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        spread = F.pmod(F.hash("id"), F.lit(20_000))
+        fact = spark.range(0, 400_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(spread).alias("fk"))
+        dim = spark.range(30_000).select(F.col("id").cast("int").alias("nk"))
+        found = star_lookup(fact, lookup(dim, surrogate=lambda k: k.cast("string"), spread_nulls_by="id"))
+        result = found.groupBy("out").count()
+        assert result.filter("out = '7'").first()["count"] > 400_000 / 3
+        result.collect()
+        assert "SortMergeJoin(skew=true)" in result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_unused_lookup_leaves_the_plan(spark):
     fact = spark.range(10).select("id", F.col("id").alias("fk"))
     dim = spark.range(5).select(F.col("id").alias("nk"))
