@@ -7,8 +7,7 @@ bytes, or into few kinds of token.  A text is rejected where a measure leaves th
 script.  Texts of fewer than ``MIN_WORDS`` words, or made of repeated word triples, fail by the base rules.
 
 Each distinct word of a piece of rows is tokenised once, with the space before it, and the counts are put together per
-row; words never share tokens, so the parts add up.  Words are those between white space, and a word of over
-``WORD_BYTES`` bytes is tokenised in parts.  One pass, no shuffle.
+row; words never share tokens, so the parts add up.  Words are those between white space.  One pass, no shuffle.
 
 Defined cases: NULL and empty texts have no words and fail; an unknown or NULL language falls to the script's band;
 a text without letters belongs to script ``other``.
@@ -26,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import byte_windows, pieces, rows_of, spaced_words, Windows
+from llm.common import Windows, byte_windows, mix, pieces, rows_of, spaced_words
 
 TOKENIZERS = "/opt/tokenizers"
 RANKS, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
 MIN_WORDS = 50
+PIECE = 3 << 20  # bytes of text that share one table of words
 REPEAT_PERCENT = 50
-WORD_BYTES = 512
 SYMBOLS = b"#*$%&|<>"
 
 
@@ -71,20 +70,39 @@ MEASURES = (
 
 @lru_cache(2)
 def _vocabularies(folder: str):
+    """Both vocabularies, with the bytes of each rank, and which pieces are single bytes or begin a word."""
     import sentencepiece
     import tiktoken
 
     with open(f"{folder}/{RANKS}", "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    # Words come one by one, so the pattern need not cut them.
-    encoding = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+    sizes[list(ranks.values())] = [len(x) for x in ranks]
+    encoding = tiktoken.Encoding("words", pat_str=r"\x20[^\x20]*", mergeable_ranks=ranks, special_tokens={})
     model = sentencepiece.SentencePieceProcessor(model_file=f"{folder}/{PIECES}")
-    is_byte = np.array([model.is_byte(i) for i in range(model.vocab_size())])
-    return encoding, model, is_byte
+    ids = range(model.vocab_size())
+    is_byte = np.array([model.is_byte(i) for i in ids])
+    begins = np.array([model.id_to_piece(i).startswith("\u2581") for i in ids])
+    return encoding, sizes, model, is_byte, begins
 
 
-def _parts(word: bytes) -> list[str]:
-    return [word[i : i + WORD_BYTES].decode("utf-8", "replace") for i in range(0, len(word), WORD_BYTES)]
+def _tokens(words: list[bytes], encoding, sizes) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of all words, each with a space before it, and where each word's begin."""
+    ids = np.array(encoding.encode_ordinary(b" ".join([b"", *words]).decode()), np.int64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    return ids, np.searchsorted(np.concatenate([[0], np.cumsum(sizes[ids])]), np.concatenate([[0], np.cumsum(lengths)]))
+
+
+def _pieces(words: list[bytes], model, begins) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the piece model, which writes the space before a word into its first piece."""
+    groups = [b" ".join(words[i : i + 512]).decode() for i in range(0, len(words), 512)]
+    ids = np.array([t for x in model.encode(groups, num_threads=1) for t in x], np.int64)
+    at = np.flatnonzero(begins[ids])
+    if len(at) == len(words):
+        return ids, np.append(at, len(ids))
+    each = model.encode([w.decode() for w in words], num_threads=1)  # a word holds the mark of the space itself
+    lengths = np.fromiter(map(len, each), np.int64, len(each))
+    return np.array([t for x in each for t in x], np.int64), np.concatenate([[0], np.cumsum(lengths)])
 
 
 def _group_sums(values: np.ndarray, before: np.ndarray) -> np.ndarray:
@@ -94,10 +112,11 @@ def _group_sums(values: np.ndarray, before: np.ndarray) -> np.ndarray:
 
 def _again(keys: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Of (row, key) pairs in order: whether the pair occurs twice or more, and whether it occurred before."""
-    order = np.lexsort((keys, rows))
-    r, k = rows[order], keys[order]
+    both = mix(keys + rows.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.argsort(both, kind="stable")
+    both = both[order]
     same = np.zeros(len(order), bool)
-    same[1:] = (r[1:] == r[:-1]) & (k[1:] == k[:-1])
+    same[1:] = both[1:] == both[:-1]
     many = same.copy()
     many[:-1] |= same[1:]
     twice, earlier = np.zeros(n, bool), np.zeros(n, bool)
@@ -139,37 +158,26 @@ def base_measures(data: np.ndarray, offsets: np.ndarray):
 def fertility(data: np.ndarray, words, word_chars: np.ndarray, folder: str):
     """Characters per token, relative entropy of tokens and byte share of each row."""
     starts, ends, before, rows, hashes = words
-    encoding, model, is_byte = _vocabularies(folder)
-    n = len(before) - 1
+    encoding, sizes, model, is_byte, begins = _vocabularies(folder)
+    n, vocabulary = len(before) - 1, len(sizes)
     _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
     raw = data.tobytes()
-    distinct = [_parts(raw[s:e]) for s, e in zip(starts[first].tolist(), ends[first].tolist())]
-    flat = [p if k else " " + p for w in distinct for k, p in enumerate(w)]
-    bounds = np.concatenate([[0], np.cumsum([len(w) for w in distinct])]).astype(np.int64)
-
-    def per_word(lists):
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        ends_ = np.concatenate([[0], np.cumsum(lengths)])
-        return np.fromiter((t for x in lists for t in x), np.int64, int(ends_[-1])), ends_[bounds]
-
-    tokens, cut = per_word([encoding.encode_ordinary(x) for x in flat])
-    own, own_cut = per_word(model.encode(flat, num_threads=1) if flat else [])
+    distinct = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist())]
+    tokens, cut = _tokens(distinct, encoding, sizes)
+    own, own_cut = _pieces(distinct, model, begins)
     n_tokens = _group_sums(np.diff(cut)[which], before)
     n_pieces = _group_sums(np.diff(own_cut)[which], before)
     n_bytes = _group_sums(_group_sums(is_byte[own], own_cut)[which], before)
-    # Token counts of each row: of each (row, word) once, times its count.
-    pairs, times = np.unique(rows * len(first) + which, return_counts=True) if len(rows) else (np.zeros(0, np.int64),) * 2
-    row, word = pairs // max(1, len(first)), pairs % max(1, len(first))
-    size = np.diff(cut)[word]
-    spread = np.repeat(np.arange(len(pairs)), size)
-    inside = np.arange(len(spread)) - np.repeat(np.cumsum(size) - size, size)
-    vocabulary = encoding.n_vocab
-    keys, back = np.unique(row[spread] * vocabulary + tokens[cut[word][spread] + inside], return_inverse=True)
-    counts = np.bincount(back, weights=times[spread], minlength=len(keys))
-    key_row = keys // vocabulary
+    # Every token of every word with its row, sorted: runs give the counts.
+    size = np.diff(cut)[which]
+    inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    keys = np.sort(np.repeat(rows, size) * vocabulary + tokens[np.repeat(cut[which], size) + inside])
+    edge = np.flatnonzero(np.diff(keys, prepend=-1))
+    counts = np.diff(np.append(edge, len(keys)))
+    key_row = keys[edge] // vocabulary
     total = np.bincount(key_row, weights=counts, minlength=n)
     kinds = np.bincount(key_row, minlength=n)
-    surprise = np.bincount(key_row, weights=counts * np.log2(counts, where=counts > 0), minlength=n)
+    surprise = np.bincount(key_row, weights=counts * np.log2(np.maximum(counts, 1)), minlength=n)
     with np.errstate(divide="ignore", invalid="ignore"):
         entropy = np.log2(total) - surprise / total
         highest = np.log2(np.minimum(total, vocabulary))
@@ -187,7 +195,7 @@ def _script_bands(data: np.ndarray, offsets: np.ndarray) -> list[Band]:
 
 def measured(batches, folder: str, language_bands: dict[str, Band]) -> Iterator[pa.RecordBatch]:
     """Batches with ``text`` and ``lang`` to the same rows with measures and verdicts after their own columns."""
-    for batch, data, offsets in pieces(batches):
+    for batch, data, offsets in pieces(batches, PIECE):
         words, base = base_measures(data, offsets)
         n_words, word_chars, _, _, n_repeat = base
         per_token, entropy, byte_share = fertility(data, words, word_chars, folder)
