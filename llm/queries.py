@@ -3,16 +3,30 @@
 from __future__ import annotations
 
 from llm.common import read
+from llm.decontaminate import ORACLE as PHRASE_SQL
+from llm.decontaminate import op4
+from llm.lines import op8
 from llm.mixing import op7
+from llm.ngram_join import op5
+from llm.pii import op3
 from llm.quality import op9
+from llm.secret_scan import op6
+from llm.warc import ORACLE as WARC_SQL
+from llm.warc import op2
 
 
-def _over(table, fn):
-    return lambda spark, sf_dir: fn(read(spark, sf_dir, table))
+def _over(fn, *tables):
+    return lambda spark, sf_dir: fn(*[read(spark, sf_dir, t) for t in tables or ("documents",)])
 
 
 QUERIES = {
-    "op7_pivotal_mixing": _over("documents", op7),
-    "op9_quality_fertility": _over("documents", op9),
+    "op2_warc_chain": _over(op2, "pages"),
+    "op3_pii_boosting": _over(op3),
+    "op4_positional_index": _over(op4, "documents", "benchmark"),
+    "op5_bayes_jaccard": _over(op5),
+    "op6_secret_network": _over(op6),
+    "op7_pivotal_mixing": _over(op7),
+    "op8_fuzzy_lines": _over(op8),
+    "op9_quality_fertility": _over(op9),
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_warc_chain": WARC_SQL, "op4_positional_index": PHRASE_SQL}
