@@ -142,7 +142,7 @@ def _bucket(least: tuple[int, ...]):
         i, j = _pruned(values, i, j, least)
         for a, b in zip(i.tolist(), j.tolist()):
             found.union(a, b)
-        return [(ids[a], ids[b]) for a, b in found.edges]
+        return found.stars(ids)
 
     return forest
 
@@ -189,7 +189,7 @@ def _verify(threshold: float, least: tuple[int, ...]):
             found.union(x, y)
         own = [ids[k] for k in used]
         rows = [(own[x], None, int(n)) for x, n in enumerate(links) if n]
-        return rows + [(own[x], own[y], 0) for x, y in found.edges]
+        return rows + [(a, b, 0) for a, b in found.stars(own)]
 
     return verified
 

@@ -2,8 +2,8 @@
 
 A group of ``n`` members is cut into ``ceil(n / block)`` blocks by a hash of the member; a task gets two blocks (or one)
 and compares across them.  A member is sent once per block of its group, so a group of copies that holds a third of all
-rows is spread over many tasks, and no task holds more than about two blocks.  Tasks return counts and a spanning
-forest of what they found, never the pairs.
+rows is spread over many tasks, and no task holds more than about two blocks.  Tasks return counts, and what they found
+as stars around the smallest members, never the pairs.
 """
 
 from __future__ import annotations
@@ -71,10 +71,10 @@ def spread_blocks(members: DataFrame, member: str, block: int) -> DataFrame:
 
 
 class Forest:
-    """Union-find over positions; ``edges`` are the unions that joined something."""
+    """Union-find over positions."""
 
     def __init__(self, n: int):
-        self.up, self.edges = list(range(n)), []
+        self.up = list(range(n))
 
     def find(self, a: int) -> int:
         while self.up[a] != a:
@@ -86,7 +86,14 @@ class Forest:
         x, y = self.find(a), self.find(b)
         if x != y:
             self.up[x] = y
-            self.edges.append((a, b))
+
+    def stars(self, ids: list[int]) -> list[tuple[int, int]]:
+        """Edges from the smallest id of each tree to its others; tasks that share members then return the same edges."""
+        least: dict[int, int] = {}
+        for k, i in enumerate(ids):
+            root = self.find(k)
+            least[root] = min(least.get(root, i), i)
+        return [(low, i) for k, i in enumerate(ids) if (low := least[self.find(k)]) != i]
 
 
 def sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:

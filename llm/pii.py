@@ -127,7 +127,7 @@ def features() -> dict[str, Column]:
     }
     made = {
         "digits": F.length(digits(m)), "length": F.length(m), "groups": F.size(groups),
-        "first": F.length(F.coalesce(F.get(groups, F.lit(0)), F.lit(""))), "last": F.length(F.coalesce(F.element_at(groups, -1), F.lit(""))),
+        "first": F.length(F.coalesce(F.get(groups, F.lit(0)), F.lit(""))), "last": F.length(F.coalesce(F.try_element_at(groups, F.lit(-1)), F.lit(""))),
         "longest": F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)),
         "spaces": _count(m, " "), "hyphens": _count(m, "-"), "dots": _count(m, r"\."), "slashes": _count(m, "/"),
         "parens": _count(m, "[()]"), "plus": m.startswith("+").cast("int"), "letters": _count(m, "[A-Za-z]"),

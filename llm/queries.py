@@ -11,6 +11,9 @@ from llm.ngram_join import op5
 from llm.pii import op3
 from llm.quality import op9
 from llm.secret_scan import op6
+from llm.substring import ORACLE as SUBSTRING_SQL
+from llm.substring import op10
+from llm.suffix import op1
 from llm.warc import ORACLE as WARC_SQL
 from llm.warc import op2
 
@@ -20,6 +23,7 @@ def _over(fn, *tables):
 
 
 QUERIES = {
+    "op1_bwt_merge": _over(op1),
     "op2_warc_chain": _over(op2, "pages"),
     "op3_pii_boosting": _over(op3),
     "op4_positional_index": _over(op4, "documents", "benchmark"),
@@ -28,5 +32,6 @@ QUERIES = {
     "op7_pivotal_mixing": _over(op7),
     "op8_fuzzy_lines": _over(op8),
     "op9_quality_fertility": _over(op9),
+    "op10_block_anchors": _over(op10),
 }
-ORACLES: dict[str, str] = {"op2_warc_chain": WARC_SQL, "op4_positional_index": PHRASE_SQL}
+ORACLES: dict[str, str] = {"op2_warc_chain": WARC_SQL, "op4_positional_index": PHRASE_SQL, "op10_block_anchors": SUBSTRING_SQL}
