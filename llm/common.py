@@ -6,6 +6,7 @@ with the offsets of its rows, so that words, hashes and windows of all its rows
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -37,11 +38,19 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: lineage ends, and a lost executor costs nothing."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: lineage ends, and a lost executor costs nothing.
+
+    ``release`` lets Spark delete the shuffle files behind ``df`` now: it does so when the driver's collectors find that
+    no plan needs them, which may otherwise take long after large shuffles.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

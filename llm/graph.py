@@ -29,7 +29,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``(id, root)`` of every vertex of ``edges (a, b)`` that is not its own root; ``a`` and ``b`` are long, in any order."""
-    now = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name)
+    now = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), name, release=True)
     seen = None
     while True:
         size = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -169,6 +169,10 @@ def _verify(threshold: float, least: tuple[int, ...]):
     percent = round(threshold * 1_000_000)
 
     def verified(table: pa.Table) -> list[tuple]:
+        ids = table.column("id").to_numpy()
+        once = np.unique(ids, return_index=True)[1]
+        if len(once) < len(ids):  # rows equal in id and text
+            table = table.take(pa.array(np.sort(once)))
         ids, copies = table.column("id").to_pylist(), table.column("copies").to_pylist()
         i, j = candidates(_values(table), *sides(table), least)
         if not len(i):
@@ -213,11 +217,12 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     forest = streamed_groups(spread_blocks(members, "id", BLOCK), ["band", "value", "bi", "bj"], _bucket(least), "a long, b long")
     near = components(forest, "near")
     roots = near.unionByName(near.select(F.col("root").alias("id"), "root").distinct())
-    placed = roots.join(texts, "id").alias("p").join(named.alias("n"), (F.col("p.did") == F.col("n.did")) & (F.col("p.id") == F.col("n.tkey")))
-    placed = placed.select("id", "root", "copies", "bands", "text").dropDuplicates(["id"])
+    # Blocks are laid out before the texts come in, so that each text moves once.
+    placed = block_tasks(roots.join(texts, "id"), "root", "id", BLOCK).alias("p")
+    placed = placed.join(named.alias("n"), (F.col("p.did") == F.col("n.did")) & (F.col("p.id") == F.col("n.tkey")))
+    placed = placed.select("root", "bi", "bj", "own", "id", "copies", "bands", "text")
     found = stored(
-        streamed_groups(block_tasks(placed, "root", "id", BLOCK), ["root", "bi", "bj"], _verify(threshold, least), "id long, other long, links long"),
-        "verified",
+        streamed_groups(placed, ["root", "bi", "bj"], _verify(threshold, least), "id long, other long, links long"), "verified", release=True
     )
     links = found.where("other IS NULL").groupBy("id").agg(F.sum("links").alias("links"))
     joined = components(found.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")), "classes")

@@ -289,7 +289,7 @@ def _report(static: pd.DataFrame, news: pd.DataFrame) -> pd.DataFrame:
 
 def repeated_intervals(stretches: DataFrame, buckets: int, partitions: int) -> DataFrame:
     """``(did, tkey, intervals)``: what the merge of the shards of ``stretches`` finds, gathered by text."""
-    static = stored(stretches.groupBy("shard").applyInPandas(_build, _SHARD), "shards").repartition(partitions, "shard")
+    static = stored(stretches.groupBy("shard").applyInPandas(_build, _SHARD), "shards", release=True).repartition(partitions, "shard")
     static = static.persist(StorageLevel.DISK_ONLY)  # read each round; a lost part comes again from the stored shards
     shards = static.groupBy("shard")
     state = stored(shards.applyInPandas(_begin(buckets), _STATE), "state")
@@ -302,7 +302,7 @@ def repeated_intervals(stretches: DataFrame, buckets: int, partitions: int) -> D
     news = state.where(F.col("kind") == DEPTHS)
     for part in counts:
         news = news.unionByName(part)
-    each = stored(shards.cogroup(news.groupBy("shard")).applyInPandas(_report, _INTERVALS), "intervals")
+    each = stored(shards.cogroup(news.groupBy("shard")).applyInPandas(_report, _INTERVALS), "intervals", release=True)
     static.unpersist()
     return each.groupBy("did", "tkey").agg(F.collect_list(F.struct("place", "depths", "counts")).alias("intervals"))
 
