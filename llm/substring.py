@@ -26,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import Windows, byte_windows, given_id, identified, pieces, rows_of, runs, spaced_words
+from llm.common import Windows, byte_windows, given_id, identified, mix, pieces, rows_of, runs, spaced_words
 
 WINDOW = 20
 ANCHOR = 10  # two blocks less one word fit into a window wherever it starts
 BUCKET = 4 << 20  # hashes in a bucket, about
+HOME_BYTES = 16 << 20
 
 _MESSAGE = "bucket int, payload binary, dids binary, tkeys binary, counts binary, places binary"
+_REPLY = "home int, dids binary, tkeys binary, counts binary, places binary"
 _FOUND = "did long, tkey long, places binary"
 
 
@@ -73,17 +75,40 @@ def unpacked(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(counts)), counts), ids, join("places", np.uint32)
 
 
-def answers(doc: np.ndarray, ids: np.ndarray, places: np.ndarray) -> pd.DataFrame:
-    """Places packed again by document."""
+def answers(doc: np.ndarray, ids: np.ndarray, places: np.ndarray, homes: int) -> pd.DataFrame:
+    """Places packed again, by document and by the home of documents, which is a hash of their ids."""
+    home = mix(ids[:, 0].view(np.uint64) ^ mix(ids[:, 1].view(np.uint64))) % np.uint64(homes)
+    order = np.lexsort((doc, home[doc]))
+    doc, places = doc[order], places[order]
+    at = home[doc]
+    cut = np.flatnonzero(np.diff(at, prepend=np.uint64(homes)))
+    out = []
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(doc)]):
+        out.append((int(at[a]), *packed_rows(doc[a:b], places[a:b], np.ascontiguousarray(ids[:, 0]), np.ascontiguousarray(ids[:, 1]))))
+    return pd.DataFrame(out, columns=[c.split()[0] for c in _REPLY.split(", ")])
+
+
+def _by_document(group: pd.DataFrame) -> pd.DataFrame:
+    """One row for each document of a home with all its places."""
+    doc, ids, places = unpacked(group)
+    _, one = np.unique(ids, axis=0, return_inverse=True)  # a document comes once from each bucket
+    doc = one.ravel()[doc]
+    first = np.zeros((int(one.max(initial=-1)) + 1, 2), np.int64)
+    first[one.ravel()] = ids
     order = np.argsort(doc, kind="stable")
     doc, places = doc[order], places[order]
     cut = np.flatnonzero(np.diff(doc, prepend=-1)).tolist()
     ends = [*cut[1:], len(doc)]
     return pd.DataFrame({
-        "did": ids[doc[cut], 0], "tkey": ids[doc[cut], 1], "places": [places[a:b].tobytes() for a, b in zip(cut, ends)],
+        "did": first[doc[cut], 0], "tkey": first[doc[cut], 1], "places": [places[a:b].tobytes() for a, b in zip(cut, ends)],
     })
 
 
+def gathered(replies: DataFrame) -> DataFrame:
+    """``(did, tkey, places)``, a row per document."""
+    return replies.groupBy("home").applyInPandas(_by_document, _FOUND)
+
+
 def _probes(buckets: int, width: int):
     """Runs of ``ANCHOR`` words and reference blocks of the documents, by bucket; ``width`` low bytes of each hash."""
 
@@ -124,7 +149,7 @@ def _widened(raw: bytes, width: int) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def _met(width: int):
+def _met(width: int, homes: int):
     """Blocks of a bucket whose hash stands in the bucket twice or more."""
 
     def met(group: pd.DataFrame) -> pd.DataFrame:
@@ -137,7 +162,7 @@ def _met(width: int):
         seen = np.sort(_widened(b"".join(all_), width))
         asked = _widened(b"".join(blocks), width)
         many = np.searchsorted(seen, asked, "right") - np.searchsorted(seen, asked, "left") > 1
-        return answers(doc[many], ids, places[many])
+        return answers(doc[many], ids, places[many], homes)
 
     return met
 
@@ -163,7 +188,7 @@ def _candidate_windows(buckets: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches):
             dids, tkeys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            anchors = [np.frombuffer(b"".join(x), np.uint32) if x else None for x in batch.column(3).to_pylist()]
+            anchors = [np.frombuffer(x, np.uint32) if x else None for x in batch.column(3).to_pylist()]
             _, _, words, before = word_hashes(data, offsets)
             at, rows = _near_anchors(before, anchors)
             first = Windows(words, 1).of(at, at + WINDOW)
@@ -178,7 +203,14 @@ def _candidate_windows(buckets: int):
     return emit
 
 
-def _repeats(group: pd.DataFrame) -> pd.DataFrame:
+def _repeats(homes: int):
+    def repeats(group: pd.DataFrame) -> pd.DataFrame:
+        return answers(*later_windows(group), homes)
+
+    return repeats
+
+
+def later_windows(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of a bucket whose words start earlier somewhere."""
     first = np.concatenate([np.frombuffer(x[: len(x) // 12 * 8], np.uint64) for x in group["payload"]])
     second = np.concatenate([np.frombuffer(x[len(x) // 12 * 8 :], np.uint32) for x in group["payload"]])
@@ -191,7 +223,7 @@ def _repeats(group: pd.DataFrame) -> pd.DataFrame:
     lead = order[np.flatnonzero(new)][np.cumsum(new) - 1]  # the earliest of each window's words
     later = (did[order] != did[lead]) | (places[order] != places[lead])
     own = order[later]
-    return answers(doc[own], ids, places[own])
+    return doc[own], ids, places[own]
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +236,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a, b = int(before[row]), int(before[row + 1])
             keep = np.ones(b - a, bool)
             if found:
-                froms, tos = runs(np.sort(np.frombuffer(b"".join(found), np.uint32).astype(np.int64)), WINDOW)
+                froms, tos = runs(np.sort(np.frombuffer(found, np.uint32).astype(np.int64)), WINDOW)
                 for x, y in zip(froms.tolist(), tos.tolist()):
                     keep[x:y] = False
                 spans.append(len(froms))
@@ -221,25 +253,25 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_windows(named: DataFrame, texts: DataFrame | None = None) -> DataFrame:
-    """``(did, tkey, places)``: packed first words of the windows whose words start earlier, for texts that have any."""
+    """``(did, tkey, places)``: packed first words of the windows whose words start earlier, for texts that have any.
+
+    Answers go to homes of ``HOME_BYTES`` of text first, so that their rows do not grow with buckets times texts.
+    """
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // (6 * BUCKET)))  # a word is about six bytes
     # Low bytes of a hash that, with the bucket, tell apart a thousand times as many hashes as there are words.
     width = min(8, max(4, -(-(int(total).bit_length() + 10 - int(buckets).bit_length()) // 8)))
     probes = named.mapInArrow(_probes(buckets, width), _MESSAGE)
-    anchors = _gathered(probes.groupBy("bucket").applyInPandas(_met(width), _FOUND))
+    homes = max(8, -(-total // HOME_BYTES))
+    anchors = gathered(probes.groupBy("bucket").applyInPandas(_met(width, homes), _REPLY))
     windows = named.join(anchors, ["did", "tkey"]).mapInArrow(_candidate_windows(buckets), _MESSAGE)
-    return windows.groupBy("bucket").applyInPandas(_repeats, _FOUND)
-
-
-def _gathered(found: DataFrame) -> DataFrame:
-    return found.groupBy("did", "tkey").agg(F.collect_list("places").alias("places"))
+    return gathered(windows.groupBy("bucket").applyInPandas(_repeats(homes), _REPLY))
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
     """``(did, n_words, n_removed, kept_sha256, n_spans)`` of every row of ``docs``."""
     named = identified(docs)
-    marked = named.join(_gathered(repeated_windows(named)), ["did", "tkey"], "left")
+    marked = named.join(repeated_windows(named), ["did", "tkey"], "left")
     return marked.mapInArrow(_kept, "did long, n_words long, n_removed long, kept_sha256 string, n_spans long")
 
 

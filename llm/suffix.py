@@ -2,10 +2,9 @@
 
 Every byte covered by a string of ``LENGTH`` bytes that also starts elsewhere is removed.
 
-*Symbols.*  Texts are cut where the text itself says so: at the smallest hash of ``GRAM`` bytes in any ``SPAN`` positions
-in a row.  Equal strings are cut alike between the first and the last cut that they determine, so the pieces serve as
-symbols, about ``SPAN / 2`` bytes each.  Symbols that occur once end every repeat, so only stretches of repeated symbols,
-of the least length that matters, go on.
+*Symbols.*  Texts are cut where the text itself says so: at hashes of ``GRAM`` bytes that are smaller than all within
+``REACH`` positions.  Equal strings are cut alike, but for their ends, so the pieces serve as symbols, over ``REACH`` bytes
+each and about twice that.  Symbols that occur once end every repeat, so only stretches of repeated symbols go on.
 
 *Shards.*  A shard sorts the suffixes of its own stretches and holds its suffix array and transform.
 
@@ -18,13 +17,12 @@ copies in one shard are one block with a size.
 
 *Bytes.*  A window is a repeat for certain if the symbols inside it and those that cover it have intervals of one size, at
 least two: whatever shares the inside shares the window.  It is none if the inside occurs once.  In between, at the edges
-of repeats, windows are compared whole, by 96 bits.
+of repeats, and where a text has too few cuts, as in one letter over and over, windows are compared whole, by 96 bits.
 
 Nothing holds more than a shard, a bucket or a text; shards and buckets have a fixed size and grow in number.
 
 Defined cases: NULL texts are empty; texts of fewer than ``LENGTH`` bytes keep all; rows equal in id and text count as two
-places, so both lose what they share; an empty table gives an empty table.  A text of one byte over and over has symbols
-of one byte and takes as many rounds as the window has bytes.
+places, so both lose what they share; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -40,17 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import byte_windows, given_id, identified, mix, pieces, runs, stored
-from llm.substring import _MESSAGE, _FOUND, _gathered, _messages, _widened, answers, by_bucket, packed_rows, unpacked
+from llm.substring import _MESSAGE, _REPLY, _messages, _widened, answers, by_bucket, gathered, packed_rows, unpacked
 
 LENGTH = 400
-SPAN = 96
+REACH = 24
 GRAM = 16
-LEAST = LENGTH - GRAM - 2 * SPAN + 2  # bytes between the cuts that a window determines, at least
 SHARD_BYTES = 16 << 20
 BUCKET_BYTES = 48 << 20
 DEPTHS, MESSAGES, COUNTS = 0, 1, 2
 
-_LONG, _PLACE = np.uint64(32), np.uint64(0xFFFFFFFF)
 _STRETCH = "shard long, did long, tkey long, place int, symbols binary, sizes binary"
 _SHARD = "shard long, dids binary, tkeys binary, places binary, lengths binary, symbols binary, sizes binary, suffixes binary"
 _STATE = "kind int, shard long, bucket int, depth int, payload binary"
@@ -58,29 +54,25 @@ _INTERVALS = "did long, tkey long, place int, depths binary, counts binary"
 
 
 class Cuts:
-    """Cuts of the rows of a piece: ``at`` their places, ``row`` of each; ``of`` gives the cut of each span of positions."""
+    """Cuts of the rows of a piece: ``at`` their places, ``row`` of each."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, windows):
         n = len(data) - GRAM + 1
         self.at = self.row = np.zeros(0, np.int64)
-        self.of = np.full(len(data) + 1, -1, np.int64)  # for a span that starts here: the index of its cut
         lengths = np.diff(offsets)
-        if n < SPAN or lengths.max() < LENGTH:
+        if n <= 2 * REACH or lengths.max() < LENGTH:
             return
         grams = mix((windows.sums[GRAM : n + GRAM] - windows.sums[:n]) * windows.inverse[:n])
-        low = (grams & ~_PLACE) | (_PLACE - np.arange(n, dtype=np.uint64))  # on a tie the last one
-        del grams
-        for step in (1, 2, 4, 8, 16, 32):
+        low = grams
+        for step in (1, 2, 4, 8):
             low = np.minimum(low[:-step], low[step:])
-        low = np.minimum(low[: len(low) - SPAN + 64], low[SPAN - 64 :])
-        end = np.repeat(np.where(lengths >= LENGTH, offsets[1:], -1), lengths)[: len(low)]
-        spans = np.flatnonzero(np.arange(len(low)) + SPAN - 1 + GRAM <= end)
-        cut = (_PLACE - (low[spans] & _PLACE)).astype(np.int64)
-        new = np.ones(len(cut), bool)
-        new[1:] = cut[1:] != cut[:-1]
-        self.at = cut[new]
-        self.of[spans] = np.cumsum(new) - 1
-        self.row = np.searchsorted(offsets, self.at, "right") - 1
+        low = np.minimum(low[: len(low) - REACH + 16], low[REACH - 16 :])  # of REACH hashes from each place on
+        middle = grams[REACH : n - REACH]
+        # Smaller than all before: of equal ones in reach, the first.
+        cut = np.flatnonzero((middle < low[: len(middle)]) & (middle <= low[REACH + 1 : REACH + 1 + len(middle)])) + REACH
+        row = np.searchsorted(offsets, cut, "right") - 1
+        inside = (cut - REACH >= offsets[row]) & (cut + REACH + GRAM <= offsets[row + 1]) & (lengths[row] >= LENGTH)
+        self.at, self.row = cut[inside], row[inside]
 
     def symbols(self, windows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Hash, size, row and place in its row of each symbol."""
@@ -109,7 +101,7 @@ def _symbol_messages(buckets: int, width: int):
     return emit
 
 
-def _repeated_symbols(width: int):
+def _repeated_symbols(width: int, homes: int):
     def met(group: pd.DataFrame) -> pd.DataFrame:
         doc, ids, places = unpacked(group)
         hashes = _widened(b"".join(group["payload"]), width)
@@ -119,13 +111,13 @@ def _repeated_symbols(width: int):
         same[1:-1] = h[1:] == h[:-1]
         many = np.zeros(len(h), bool)
         many[order] = same[1:] | same[:-1]
-        return answers(doc[many], ids, places[many])
+        return answers(doc[many], ids, places[many], homes)
 
     return met
 
 
 def _stretches(shards: int):
-    """Stretches of repeated symbols that span the least length."""
+    """Stretches of two repeated symbols or more."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches):
@@ -137,13 +129,13 @@ def _stretches(shards: int):
             out = []
             for row, found in enumerate(batch.column(3).to_pylist()):
                 a, b = int(upto[row]), int(upto[row + 1])
-                known = np.unique(np.frombuffer(b"".join(found), np.uint32))
+                known = np.unique(np.frombuffer(found, np.uint32))
                 known = known[known < b - a].astype(np.int64)
                 cuts = np.flatnonzero(np.diff(known) > 1) + 1
                 for part in np.split(known, cuts):
-                    if len(part) and sizes[a + part[0] : a + part[-1] + 1].sum() >= LEAST:
+                    if len(part) > 1:
                         own = slice(a + int(part[0]), a + int(part[-1]) + 1)
-                        out.append((int(home[row]), int(dids[row]), int(tkeys[row]), int(part[0]), hashes[own].tobytes(), sizes[own].astype(np.uint8).tobytes()))
+                        out.append((int(home[row]), int(dids[row]), int(tkeys[row]), int(part[0]), hashes[own].tobytes(), sizes[own].astype(np.uint32).tobytes()))
             columns = list(zip(*out)) if out else [()] * 6
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[c.split()[0] for c in _STRETCH.split(", ")])
@@ -186,7 +178,7 @@ class Shard:
         self.suffixes = np.frombuffer(row["suffixes"], np.int32).astype(np.int64)
         n = len(self.symbols)
         self.ends = np.repeat(np.cumsum(self.lengths), self.lengths)
-        self.sums = np.concatenate([[0], np.cumsum(np.frombuffer(row["sizes"], np.uint8).astype(np.int64))])
+        self.sums = np.concatenate([[0], np.cumsum(np.frombuffer(row["sizes"], np.uint32).astype(np.int64))])
         self.row_of = np.empty(n, np.int64)
         self.row_of[self.suffixes] = np.arange(n)
         begins = self.ends - np.repeat(self.lengths, self.lengths)
@@ -211,7 +203,7 @@ class Shard:
         few = np.flatnonzero(
             (depths == depth - 1) & (at + depth <= self.ends[at]) & (depths[self.row_of[after]] >= depth - 1)
         )
-        few = few[self.sums[at[few] + depth - 1] - self.sums[at[few]] < LENGTH + SPAN]
+        few = few[self.sums[at[few] + depth - 1] - self.sums[at[few]] < LENGTH + 4 * REACH]
         return few, self.blocks(depth)[0][few] if len(few) else np.zeros(0, np.uint64)
 
 
@@ -311,9 +303,11 @@ def _windows_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, wi
     """First bytes of windows that are repeats for certain, and of those to compare."""
     cuts = Cuts(data, offsets, windows)
     n = len(cuts.at)
-    none = np.zeros(0, np.int64)
+    lengths = np.diff(offsets)
+    many = np.maximum(lengths - LENGTH + 1, 0)
+    at = np.repeat(offsets[:-1] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
     if not n:
-        return none, none
+        return at[:0], at
     first_cut = np.searchsorted(cuts.row, np.arange(len(batch)))
     depth, upto = np.zeros(n, np.int64), np.zeros(n, np.int64)
     parts, done = [], 0
@@ -334,11 +328,9 @@ def _windows_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, wi
         known = (long >= 2) & (long <= depth[a])
         return np.where(known, sizes[np.where(known, upto[a] + long - 2, len(sizes) - 1)], 0)
 
-    lengths = np.diff(offsets)
-    many = np.maximum(lengths - LENGTH + 1, 0)
-    at = np.repeat(offsets[:-1] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-    a, b = cuts.of[at], cuts.of[at + LENGTH - GRAM - SPAN + 1]
-    inside = interval(a, b)
+    a, b = np.searchsorted(cuts.at, at + REACH), np.searchsorted(cuts.at, at + LENGTH - GRAM - REACH, "right") - 1
+    few = at[b - a < 2]
+    inside = interval(np.minimum(a, n - 1), np.maximum(b, 0))
     keep = np.flatnonzero(inside > 1)
     at, inside = at[keep], inside[keep]
     row = np.searchsorted(offsets, at, "right") - 1
@@ -347,7 +339,7 @@ def _windows_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, wi
     held = (left >= 0) & (cuts.row[left] == row) & (cuts.row[right] == row) & (cuts.at[right] >= at + LENGTH)
     around = np.where(held, interval(np.maximum(left, 0), right), 0)
     same = around == inside
-    return at[same], at[~same]
+    return at[same], np.sort(np.concatenate([at[~same], few]))
 
 
 def _edge_windows(buckets: int):
@@ -368,7 +360,14 @@ def _edge_windows(buckets: int):
     return emit
 
 
-def _equal_windows(group: pd.DataFrame) -> pd.DataFrame:
+def _equal(homes: int):
+    def equal(group: pd.DataFrame) -> pd.DataFrame:
+        return answers(*_equal_windows(group), homes)
+
+    return equal
+
+
+def _equal_windows(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.concatenate([np.frombuffer(x[: len(x) // 12 * 8], np.uint64) for x in group["payload"]])
     second = np.concatenate([np.frombuffer(x[len(x) // 12 * 8 :], np.uint32) for x in group["payload"]])
     doc, ids, places = unpacked(group)
@@ -377,7 +376,7 @@ def _equal_windows(group: pd.DataFrame) -> pd.DataFrame:
     same = np.zeros(len(order) + 1, bool)
     same[1:-1] = (f[1:] == f[:-1]) & (s[1:] == s[:-1])
     own = order[same[1:] | same[:-1]]
-    return answers(doc[own], ids, places[own])
+    return doc[own], ids, places[own]
 
 
 def _removed_runs(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -389,7 +388,7 @@ def _removed_runs(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray)
     for row, found in enumerate(batch.column(batch.schema.get_field_index("places")).to_pylist()):
         own = sure[upto[row] : upto[row + 1]]
         if found:
-            own = np.unique(np.concatenate([own, offsets[row] + np.frombuffer(b"".join(found), np.uint32).astype(np.int64)]))
+            own = np.unique(np.concatenate([own, offsets[row] + np.frombuffer(found, np.uint32).astype(np.int64)]))
         out.append(runs(own, LENGTH))
     return out
 
@@ -420,12 +419,12 @@ def marked_texts(docs: DataFrame) -> DataFrame:
     shards, buckets = max(8, -(-total // SHARD_BYTES)), max(8, -(-total // BUCKET_BYTES))
     width = min(8, max(4, -(-(int(total).bit_length() + 5 - int(buckets).bit_length()) // 8)))
     symbols = named.mapInArrow(_symbol_messages(buckets, width), _MESSAGE)
-    known = _gathered(symbols.groupBy("bucket").applyInPandas(_repeated_symbols(width), _FOUND))
+    known = gathered(symbols.groupBy("bucket").applyInPandas(_repeated_symbols(width, shards), _REPLY))
     stretches = named.join(known, ["did", "tkey"]).mapInArrow(_stretches(shards), _STRETCH)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     intervals = stored(repeated_intervals(stretches, buckets, partitions), "repeats")
-    edges = named.join(intervals, ["did", "tkey"]).mapInArrow(_edge_windows(4 * buckets), _MESSAGE)
-    equal = _gathered(edges.groupBy("bucket").applyInPandas(_equal_windows, _FOUND))
+    edges = named.join(intervals, ["did", "tkey"], "left").mapInArrow(_edge_windows(4 * buckets), _MESSAGE)
+    equal = gathered(edges.groupBy("bucket").applyInPandas(_equal(shards), _REPLY))
     return named.join(intervals.join(equal, ["did", "tkey"], "left"), ["did", "tkey"], "left")
 
 
