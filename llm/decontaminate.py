@@ -45,8 +45,8 @@ def folded_words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def _small(terms: DataFrame, most: int) -> DataFrame:
-    return F.broadcast(terms) if terms.count() <= most else terms
+def _small(terms: DataFrame) -> DataFrame:
+    return F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -55,13 +55,13 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return listed.where("item IS NOT NULL AND size(words) > 0").distinct().withColumn("row", F.xxhash64("item", "words"))
 
 
-def lookups(items: DataFrame, named: DataFrame, window: int = WINDOW, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
+def lookups(items: DataFrame, named: DataFrame, window: int = WINDOW) -> DataFrame:
     """``(row, item, probe, terms, place, term)``: the rarest terms of each window with their places in the item."""
     placed = items.select("row", "item", F.size("words").alias("n"), F.posexplode("words").alias("place", "word"))
     placed = stored(placed.select("row", "item", "n", "place", F.lower("word").alias("term")), "items")
     vocabulary = stored(placed.select("term").distinct(), "vocabulary")
     corpus = named.select(F.explode(folded_words(F.col("text"))).alias("term"))
-    counts = stored(corpus.join(_small(vocabulary, broadcast_terms), "term").groupBy("term").count(), "counts")
+    counts = stored(corpus.join(_small(vocabulary), "term").groupBy("term").count(), "counts")
     # A place belongs to the windows that start at most 12 places before it.
     begin = F.explode(F.sequence(F.greatest(F.lit(0), F.col("place") - window + 1), F.least(F.col("place"), F.greatest(F.lit(0), F.col("n") - window))))
     known = placed.join(counts, "term").select("row", "item", "n", "place", "term", "count", begin.alias("begin"))
@@ -74,10 +74,10 @@ def lookups(items: DataFrame, named: DataFrame, window: int = WINDOW, broadcast_
     return stored(probes.select("row", "item", "probe", "terms", "at.place", "at.term"), "probes")
 
 
-def postings(named: DataFrame, terms: DataFrame, broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
+def postings(named: DataFrame, terms: DataFrame) -> DataFrame:
     """``(term, did, tkey, position)`` of ``terms`` in all documents."""
     spread = named.select("did", "tkey", F.posexplode(folded_words(F.col("text"))).alias("position", "term"))
-    return spread.join(_small(stored(terms.select("term").distinct(), "terms"), broadcast_terms), "term")
+    return spread.join(_small(stored(terms.select("term").distinct(), "terms")), "term")
 
 
 def _diagonals(lists: DataFrame, probes: DataFrame) -> DataFrame:
@@ -146,8 +146,8 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bad = phrase_matches(docs, benchmark).where(contaminated(F.col("n_hit"), F.col("n_words"))).select("did", "tkey").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))).withColumn("tkey", row_key(text))
-    own = keyed.select(F.struct(*docs.columns).alias("row"), "did", "tkey")
-    return own.join(bad, ["did", "tkey"], "left_anti").select("row.*")
+    own = keyed.select(F.struct(*docs.columns).alias("__doc"), "did", "tkey")
+    return own.join(bad, ["did", "tkey"], "left_anti").select("__doc.*")
 
 
 def op4(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

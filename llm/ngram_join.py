@@ -246,8 +246,8 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))).withColumn("tkey", row_key(text))
     first = F.row_number().over(Window.partitionBy("did", "tkey").orderBy("did"))
-    own = keyed.select(F.struct(*docs.columns).alias("row"), "did", "tkey")
-    return own.join(kept, ["did", "tkey"], "left_semi").withColumn("nth", first).where("nth = 1").select("row.*")
+    own = keyed.select(F.struct(*docs.columns).alias("__doc"), "did", "tkey")
+    return own.join(kept, ["did", "tkey"], "left_semi").withColumn("nth", first).where("nth = 1").select("__doc.*")
 
 
 def op5(docs: DataFrame) -> DataFrame:
