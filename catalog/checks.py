@@ -101,9 +101,8 @@ def gold_freshness(m):
 def volume_range(m):
     """Events per day against an expected range."""
     n = F.count(F.lit(1))
-    return m["events"].groupBy(F.to_date("ts").alias("dia")).agg(n.alias("linhas")).withColumn(
-        "faixa", F.when(F.col("linhas") < 300, "abaixo").when(F.col("linhas") > 350, "acima").otherwise("ok")
-    )
+    days = m["events"].groupBy(F.to_date("ts").alias("dia")).agg(n.alias("linhas"))
+    return days.withColumn("faixa", freshness.volume_verdict(F.col("linhas"), 300, 350))
 
 
 RECONCILE_SQL = """

@@ -436,9 +436,9 @@ def fk_orphans(m):
        FROM (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS gasto FROM orders GROUP BY ALL) t""",
 )
 def distributed_ranking(m):
-    """Dense rank of customers by spend, forced through the multi-task path."""
+    """Dense rank of customers by spend."""
     spend = m["orders"].groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("gasto"))
-    return dense_rank_by(spend, "gasto", "posicao", one_task_rows=0)
+    return dense_rank_by(spend, "gasto", "posicao")
 
 
 @query(
@@ -449,6 +449,6 @@ def distributed_ranking(m):
        FROM (SELECT l_partkey, sum(CAST(l_quantity AS BIGINT)) AS unidades FROM lineitem GROUP BY ALL) t""",
 )
 def distributed_running_share(m):
-    """Cumulative share of units per part, with many ties, forced through the multi-task path."""
+    """Cumulative share of units per part, with many ties."""
     units = m["lineitem"].groupBy("l_partkey").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("unidades"))
-    return cumulative_share(units, "unidades", "l_partkey", one_task_rows=0)
+    return cumulative_share(units, "unidades", "l_partkey")

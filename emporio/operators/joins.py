@@ -1,8 +1,8 @@
 """Joins of the star schema.
 
 No join here hints a broadcast on a table that grows: Spark broadcasts by the
-measured size and adaptive execution splits hot join partitions.  Only inputs
-whose row count is bounded by configuration go through :func:`broadcast_bounded`.
+measured size and adaptive execution splits hot join partitions.  Only the
+calendar and the channels, whose rows configuration bounds, are hinted.
 """
 
 from __future__ import annotations
@@ -13,14 +13,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
-# Rows without a foreign key are scattered over this many sub-keys.
-NULL_SPREAD = 64
 
+def spread_nulls(key: Column, by: str | Column) -> Column:
+    """``key`` as a long, a NULL replaced by a number far below all ids that differs from row to row.
 
-def broadcast_bounded(df: DataFrame, row_bound: int) -> DataFrame:
-    """Broadcast hint for a frame with at most ``row_bound`` rows by construction."""
-    return F.broadcast(df) if row_bound <= MAX_BROADCAST_ROWS else df
+    A left join on it finds nothing for such rows, as for NULL, but deals them
+    over all shuffle partitions.
+    """
+    return F.when(key.isNull(), -F.pmod(F.xxhash64(by), F.lit(1 << 61)) - F.lit(1 << 62)).otherwise(key.cast("long"))
+
+
+def left_join_sparse(df: DataFrame, other: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Left join on a ``key`` that is NULL on many rows of ``df``."""
+    right = other.withColumn("__other", F.col(key).cast("long")).drop(key)
+    return df.join(right, spread_nulls(F.col(key), spread_by) == F.col("__other"), "left").drop("__other")
 
 
 @dataclass(frozen=True)
@@ -33,10 +39,10 @@ class Lookup:
     multiply fact rows, and the whole join disappears from plans that do not
     read the surrogate.
 
-    ``row_bound`` allows a broadcast hint for a dimension of proven size.
+    ``bounded`` hints a broadcast for a dimension whose rows configuration bounds.
     ``spread_nulls_by`` names a high-cardinality fact column: rows with a NULL
-    key (they match nothing) are scattered by its hash, so that an often-empty
-    key does not pile up in one shuffle partition.
+    key (they match nothing) are dealt by its hash, so that an often-empty key
+    does not pile up in one shuffle partition.
     """
 
     dim: DataFrame
@@ -45,7 +51,7 @@ class Lookup:
     surrogate: str | Callable[[Column], Column]
     default: str | int
     alias: str
-    row_bound: int | None = None
+    bounded: bool = False
     spread_nulls_by: str | None = None
 
 
@@ -69,11 +75,9 @@ def star_lookup(fact: DataFrame, *lookups: Lookup) -> DataFrame:
         key = F.col(look.on) if isinstance(look.on, str) else look.on
         condition = key == natural
         if look.spread_nulls_by:
-            scatter = F.when(key.isNull(), F.pmod(F.xxhash64(look.spread_nulls_by), F.lit(NULL_SPREAD))).otherwise(0)
-            # Always zero, but not a constant to the optimizer, which would fold the join key away.
-            condition = condition & (scatter == F.pmod(F.xxhash64(natural), F.lit(1)))
-        if look.row_bound is not None:
-            side = broadcast_bounded(side, look.row_bound)
+            condition = spread_nulls(key, look.spread_nulls_by) == natural.cast("long")
+        if look.bounded:
+            side = F.broadcast(side)
         out = out.join(side, condition, "left")
     return out.select(*fact.columns, *keys)
 

@@ -20,20 +20,35 @@ def period_shifts(
 ) -> DataFrame:
     """Value of the same group in earlier periods; ``shifts`` maps output names to (months, days) back.
 
-    Joined on the shifted date rather than taken with ``lag``, because periods
-    may be missing; an absent period gives NULL.  ``df`` has one row per group
-    and date.
+    By date rather than with ``lag``, because periods may be missing; an absent
+    period gives NULL.  ``df`` has one row per group and date.  Each row is sent
+    once as itself and once per shift to the dates that look back at it (several
+    after a month's last day, where shorter months clamp), and one grouping
+    brings them together: the input is computed once.
     """
-    out = df
-    for name, (months, days) in shifts.items():
-        earlier = df.select(
-            *[F.col(k).alias(f"__{k}") for k in keys], F.col(date_col).alias("__at"), F.col(value).alias(name)
-        )
-        condition = F.date_sub(F.add_months(F.col(date_col), -months), days) == F.col("__at")
-        for k in keys:
-            condition = condition & F.col(k).eqNullSafe(F.col(f"__{k}"))
-        out = out.join(earlier, condition, "left").select(*out.columns, name)
-    return out
+    names, others = list(shifts), [c for c in df.columns if c not in (date_col, *keys)]
+    here, no_dates = F.col(date_col), F.array().cast("array<date>")
+
+    def looking_back(months: int, days: int) -> Column:
+        """Dates ``t`` with ``t - months - days`` equal to this row's date."""
+        day = F.date_add(here, days)
+        first = F.trunc(F.add_months(F.trunc(day, "month"), months), "month")
+        start, last = F.date_add(first, F.dayofmonth(day) - 1), F.last_day(first)
+        dates = F.when(day == F.last_day(day), F.sequence(F.least(start, last), last)).otherwise(F.array(start))
+        return F.when(start <= last, dates).otherwise(no_dates) if months else F.array(day)
+
+    def sent(number: int, dates: Column) -> Column:
+        return F.transform(dates, lambda d: F.struct(F.lit(number).alias("n"), d.alias("d")))
+
+    to = F.concat(sent(-1, F.array(here)), *[sent(i, looking_back(*shifts[n])) for i, n in enumerate(names)])
+    rows = df.withColumn("__to", F.explode(to))
+    own = F.when(F.col("__to.n") == -1, F.struct(F.lit(1).alias("__own"), *others))
+    grouped = rows.groupBy(*keys, F.col("__to.d").alias(date_col)).agg(
+        F.first(own, ignorenulls=True).alias("__row"),
+        *[F.first(F.when(F.col("__to.n") == i, F.col(value)), ignorenulls=True).alias(n) for i, n in enumerate(names)],
+    )
+    kept = grouped.where("__row IS NOT NULL")
+    return kept.select(*[F.col(f"__row.{c}").alias(c) if c in others else F.col(c) for c in df.columns], *names)
 
 
 def period_shift(

@@ -13,76 +13,75 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporio.functions.numeric import safe_divide
-from emporio.operators.lineage import stable
 
 CELLS = 128
-# A table proven this small is ordered in one task.
-ONE_TASK_ROWS = 100_000
 
 
-def _cut_points(df: DataFrame, column: str, cells: int) -> tuple[list, int]:
-    """Distinct quantiles of a numeric column and the row count (one bounded driver row)."""
+def _cut_points(df: DataFrame, columns: Sequence[str], cells: int) -> list[list]:
+    """Distinct quantiles of numeric columns: one row of at most ``cells`` values per column on the driver."""
     steps = [i / cells for i in range(1, cells)]
-    row = df.agg(
-        F.percentile_approx(column, steps, 10 * cells).alias("cuts"), F.count(F.lit(1)).alias("n")
-    ).first()
-    return sorted(set(row["cuts"] or [])), row["n"]
+    row = df.agg(*[F.percentile_approx(c, steps, 10 * cells).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    return [sorted(set(cuts or [])) for cuts in row]
 
 
 def _cell(column: str, cuts: list) -> Column:
-    """Position of a value among the cuts: even between two cuts, odd exactly on one.
+    """Position of a value among the cuts: even between two cuts, odd exactly on one; NULL is below all.
 
     A value that fills a large share of the rows is a cut, so it gets a cell of
-    its own which can then be divided further by another column.
+    its own which can then be divided further by another column.  The cuts are
+    searched by halves, in generated code.
     """
-    bounds = F.array(*[F.lit(c) for c in cuts])
-    below = F.size(F.filter(bounds, lambda b: b < F.col(column)))
-    return below * 2 + F.array_contains(bounds, F.col(column)).cast("int")
+    value = F.col(column)
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(2 * lo)
+        mid = (lo + hi) // 2
+        cut = F.lit(cuts[mid])
+        return F.when(value < cut, search(lo, mid)).when(value > cut, search(mid + 1, hi)).otherwise(2 * mid + 1)
+
+    return F.when(value.isNull(), F.lit(-1)).otherwise(search(0, len(cuts)))
 
 
 def running_totals(
-    df: DataFrame,
-    order: str,
-    tiebreak: str,
-    totals: dict[str, Column],
-    cells: int = CELLS,
-    one_task_rows: int = ONE_TASK_ROWS,
+    df: DataFrame, order: str, tiebreak: str, totals: dict[str, Column], cells: int | None = None
 ) -> DataFrame:
-    """Inclusive running sums by ``order`` descending, then ``tiebreak`` ascending.
+    """Inclusive running sums by ``order`` descending with NULL last, then ``tiebreak`` ascending.
 
-    ``tiebreak`` must be numeric and unique, ``order`` numeric and not NULL;
-    ``totals`` maps output names to the summed expressions.
+    ``order`` and ``tiebreak`` are numeric, ``tiebreak`` unique; ``totals`` maps
+    output names to the summed expressions.  Rows whose value is one of the cuts,
+    or NULL, are divided further by ``tiebreak``.  Sums of decimals and integers
+    are exact; sums of doubles may differ from a sequential sum in the last
+    digits, as additions are grouped by cell.
     """
-    ordering = [F.desc(order), F.asc(tiebreak)]
-    df = stable(df)
-    cuts, n = _cut_points(df, order, cells)
-    if n <= one_task_rows or not cuts:
-        # Size checked above, so one task is enough.
-        window = Window.orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[F.sum(e).over(window).alias(name) for name, e in totals.items()])
-
-    tie_cuts, _ = _cut_points(df, tiebreak, cells)
+    cells = cells or max(CELLS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts, tie_cuts = _cut_points(df, [order, tiebreak], cells)
     celled = df.withColumn("__cell", _cell(order, cuts)).withColumn(
-        "__sub", F.when(F.col("__cell") % 2 == 1, _cell(tiebreak, tie_cuts)).otherwise(0)
+        "__sub", F.when(F.col("__cell") % 2 != 0, _cell(tiebreak, tie_cuts)).otherwise(0)
     )
     sums = [F.sum(e).alias(f"__before_{name}") for name, e in totals.items()]
     before = Window.orderBy(F.desc("__cell"), F.asc("__sub")).rowsBetween(Window.unboundedPreceding, -1)
-    # At most (2 * cells) ** 2 rows, whatever the size of the table.
+    # At most (2 * cells + 1) ** 2 rows, whatever the size of the table.
     offsets = celled.groupBy("__cell", "__sub").agg(*sums).select(
         F.col("__cell").alias("__at_cell"),
         F.col("__sub").alias("__at_sub"),
-        *[F.coalesce(F.sum(f"__before_{n}").over(before), F.lit(0)).alias(f"__before_{n}") for n in totals],
+        *[F.sum(f"__before_{n}").over(before).alias(f"__before_{n}") for n in totals],
     )
+    ordering = [F.desc_nulls_last(order), F.asc(tiebreak)]
     inside = Window.partitionBy("__cell", "__sub").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
     joined = celled.select("*", *[F.sum(e).over(inside).alias(f"__in_{n}") for n, e in totals.items()]).join(
         F.broadcast(offsets), (F.col("__cell") == F.col("__at_cell")) & (F.col("__sub") == F.col("__at_sub"))
     )
-    return joined.select(*df.columns, *[(F.col(f"__in_{n}") + F.col(f"__before_{n}")).alias(n) for n in totals])
+
+    def total(n: str) -> Column:
+        here, earlier = F.col(f"__in_{n}"), F.col(f"__before_{n}")
+        return F.coalesce(here + earlier, here, earlier).alias(n)
+
+    return joined.select(*df.columns, *[total(n) for n in totals])
 
 
 def cumulative_share(df: DataFrame, value: str, tiebreak: str, out: str = "cum_share", **options) -> DataFrame:
-    """Share of the total reached when adding rows from the largest ``value`` down."""
-    df = stable(df)
+    """Share of the total reached when adding rows from the largest ``value`` down (W9); rows without a value come last."""
     total = df.agg(F.sum(value).alias("__total"))
     ranked = running_totals(df, value, tiebreak, {"__running": F.col(value)}, **options)
     return ranked.withColumn(out, safe_divide(F.col("__running"), total.scalar())).drop("__running")

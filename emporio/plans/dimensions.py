@@ -16,7 +16,6 @@ from emporio.config import WarehouseConfig
 from emporio.functions import calendar as cal
 from emporio.functions.keys import date_key, surrogate_key
 from emporio.functions.rfm import rfm_segment
-from emporio.operators.joins import broadcast_bounded
 from emporio.operators.scd2 import scd2_columns
 from emporio.sources.reference import channels, date_spine, holidays
 
@@ -36,7 +35,7 @@ def calendar_columns(days: DataFrame, holiday_dates: DataFrame, day_bound: int,
     """Calendar attributes of a frame of distinct ``data_full`` days."""
     d = F.col("data_full")
     # At most a dozen holidays a year, so bounded by the number of days.
-    marks = broadcast_bounded(holiday_dates.select(F.col("data").alias("__holiday")).distinct(), day_bound)
+    marks = F.broadcast(holiday_dates.select(F.col("data").alias("__holiday")).distinct())
     holiday = F.col("__holiday").isNotNull()
     columns = [
         date_key(d).alias("sk_tempo"),

@@ -15,15 +15,12 @@ from emporio.config import WarehouseConfig
 from emporio.functions.keys import ANONYMOUS, NO_CAMPAIGN, UNKNOWN, UNKNOWN_DATE, date_key, surrogate_key
 from emporio.functions.numeric import ratio, round_ratio, safe_divide
 from emporio.operators.dedup import first_per_key, latest_per_key
-from emporio.operators.joins import Lookup, join_aggregate, star_lookup
+from emporio.operators.joins import Lookup, join_aggregate, left_join_sparse, star_lookup
 
 Frames = Mapping[str, DataFrame]
 
-CHANNEL_COUNT = 5
-
-
 # Dimension: its natural key, and the fact's column and value for a miss.
-_DIMENSION_KEYS = {
+DIMENSION_KEYS = {
     "dim_cliente": ("id_cliente_nk", "sk_cliente", UNKNOWN),
     "dim_produto": ("id_produto_nk", "sk_produto", UNKNOWN),
     "dim_loja": ("id_loja_nk", "sk_loja", UNKNOWN),
@@ -33,14 +30,17 @@ _DIMENSION_KEYS = {
     "dim_modalidade_entrega": ("id_modalidade_nk", "sk_modalidade_entrega", UNKNOWN),
 }
 
+# What a fact holds where a dimension has no row, yet.
+MISSES = (UNKNOWN, NO_CAMPAIGN, ANONYMOUS)
+
 
 def _key(dfs: Frames, dim: str, on: str, default: str | None = None, **options) -> Lookup:
-    natural, alias, miss = _DIMENSION_KEYS[dim]
+    natural, alias, miss = DIMENSION_KEYS[dim]
     return Lookup(dfs[dim], on, natural, surrogate_key, default or miss, alias, **options)
 
 
 def _date(dfs: Frames, cfg: WarehouseConfig, day: str | Column, alias: str = "sk_tempo") -> Lookup:
-    return Lookup(dfs["dim_tempo"], day, "data_full", date_key, UNKNOWN_DATE, alias, row_bound=cfg.calendar_days)
+    return Lookup(dfs["dim_tempo"], day, "data_full", date_key, UNKNOWN_DATE, alias, bounded=True)
 
 
 def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
@@ -52,16 +52,18 @@ def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
         commissions = commissions.select("id_pedido", "valor_comissao")
     else:
         commissions = commissions.groupBy("id_pedido").agg(F.sum("valor_comissao").alias("valor_comissao"))
-    rows = orders.join(items, "id_pedido").join(commissions, "id_pedido", "left")
-    rows = star_lookup(
-        rows,
+    # Customer, store, campaign, day and channel are known per order: looked up before the items multiply the rows.
+    # The two lookups without a shuffle and the joins by order id come next to one another.
+    orders = star_lookup(
+        orders,
         _key(dfs, "dim_cliente", "id_cliente"),
-        _key(dfs, "dim_produto", "id_produto"),
         _key(dfs, "dim_loja", "id_loja"),
+        _key(dfs, "dim_campanha", "id_campanha", spread_nulls_by="id_pedido"),
         _date(dfs, cfg, "dt_pedido_data"),
-        _key(dfs, "dim_canal_venda", "canal_venda", row_bound=CHANNEL_COUNT),
-        _key(dfs, "dim_campanha", "id_campanha", spread_nulls_by="id_item_pedido"),
+        _key(dfs, "dim_canal_venda", "canal_venda", bounded=True),
     )
+    rows = orders.join(commissions, "id_pedido", "left").join(items, "id_pedido")
+    rows = star_lookup(rows, _key(dfs, "dim_produto", "id_produto"))
     net, discount, status = F.col("valor_liquido_item"), F.col("desconto_item"), F.col("status")
     cost = F.col("qtd_vendida") * F.col("custo_unitario")
     return rows.select(
@@ -165,7 +167,7 @@ def stock_snapshots(balances: DataFrame) -> DataFrame:
 def build_delivery(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
     """``fato_entrega``: one row per delivery (G3).  The delay is negative when early."""
     orders = dfs["stg_vendas__pedidos"].select("id_pedido", "id_cliente", "canal_venda")
-    rows = dfs["stg_logistica__entregas"].drop("updated_at").join(orders, "id_pedido", "left")
+    rows = left_join_sparse(dfs["stg_logistica__entregas"].drop("updated_at"), orders, "id_pedido", "id_entrega")
     rows = star_lookup(
         rows,
         _key(dfs, "dim_cliente", "id_cliente"),
@@ -217,7 +219,7 @@ def build_ledger(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
             receivables, ["id_pedido"], [F.desc_nulls_last("dt_vencimento"), F.desc("id_conta")]
         )
     entries = dfs["stg_financeiro__lancamentos"].drop("updated_at")
-    rows = entries.join(receivables.drop("id_conta", "dt_vencimento"), "id_pedido", "left")
+    rows = left_join_sparse(entries, receivables.drop("id_conta", "dt_vencimento"), "id_pedido", "id_lancamento")
     rows = star_lookup(
         rows, _key(dfs, "dim_loja", "id_loja"), _date(dfs, cfg, "dt_competencia", "sk_tempo_competencia")
     )

@@ -68,7 +68,7 @@ def refresh_staging(
     The winner of a key is the newest version over table and batch, so a
     re-extracted older row does not replace a newer one.
     """
-    mark = None if full_refresh else warehouse.mark(entry.staging_name)
+    mark = None if full_refresh else warehouse.marks(entry.staging_name).get("bronze")
     batch = read_bronze(spark, entry, bronze_root, since=mark)
     newest = high_water(batch.select(F.unix_micros("_ingested_at").alias("at")), "at")
     if newest is None and warehouse.exists(entry.staging_name) and not full_refresh:
@@ -81,5 +81,5 @@ def refresh_staging(
         partition=id_partition(entry),
         order_by=("updated_at", "_ingested_at"),
         full_refresh=full_refresh,
-        mark=seen,
+        marks=None if seen is None else {"bronze": seen},
     )

@@ -30,7 +30,12 @@ class Incremental:
     """How a model is refreshed.
 
     ``key`` joins the driving input to the others in ``inputs``; a change in any
-    of them rebuilds the rows of that key.
+    of them rebuilds the rows of that key.  ``lookups`` are dimensions by the
+    input and column that name their rows, where needed with the input's row id
+    and its column in the fact: a dimension row that comes after the fact
+    rebuilds the rows of the key that still miss it, found in the stored fact by
+    ``stored_key`` or by that id.  ``row`` is the same pair for the driver, whose
+    rows may have no key.
     """
 
     build: Callable[[dict[str, DataFrame], WarehouseConfig], DataFrame]
@@ -39,6 +44,9 @@ class Incremental:
     inputs: tuple[str, ...]
     key: tuple[str, ...]
     day: str
+    stored_key: tuple[str, ...] = ()
+    lookups: tuple[tuple, ...] = ()
+    row: tuple[str, str] | None = None
 
 
 # Rebuilt by affected key; the rest is small or depends on the anchor date and is rebuilt whole.
@@ -50,22 +58,44 @@ INCREMENTAL: dict[str, Incremental] = {
     "fato_venda": Incremental(
         facts.build_sales, "sk_venda", "int_vendas__pedidos_unificados",
         ("stg_vendas__itens_pedido", "stg_vendas__devolucoes", "stg_rh__comissoes"), ("id_pedido",), "dt_pedido_data",
+        ("id_pedido_dg",),
+        (
+            ("int_vendas__pedidos_unificados", "id_cliente", "dim_cliente"),
+            ("int_vendas__pedidos_unificados", "id_loja", "dim_loja"),
+            ("int_vendas__pedidos_unificados", "id_campanha", "dim_campanha"),
+            ("stg_vendas__itens_pedido", "id_produto", "dim_produto", ("id_item_pedido", "id_item_pedido_dg")),
+        ),
     ),
     "fato_estoque": Incremental(
         facts.build_stock, "sk_estoque", "stg_estoque__saldo_estoque",
         ("stg_estoque__movimentacoes",), ("id_produto", "id_loja"), "dt_ultima_atualizacao",
+        ("id_produto_nk", "id_loja_nk"),
+        (
+            ("stg_estoque__saldo_estoque", "id_produto", "dim_produto"),
+            ("stg_estoque__saldo_estoque", "id_loja", "dim_loja"),
+        ),
     ),
     "fato_entrega": Incremental(
         facts.build_delivery, "sk_entrega", "stg_logistica__entregas",
         ("stg_vendas__pedidos",), ("id_pedido",), "dt_postagem",
+        ("id_pedido_dg",),
+        (
+            ("stg_vendas__pedidos", "id_cliente", "dim_cliente"),
+            ("stg_logistica__entregas", "id_loja_origem", "dim_loja"),
+            ("stg_logistica__entregas", "id_transportadora", "dim_transportadora"),
+            ("stg_logistica__entregas", "id_modalidade", "dim_modalidade_entrega"),
+        ),
+        ("id_entrega", "id_entrega_dg"),
     ),
     "fato_financeiro": Incremental(
         facts.build_ledger, "sk_lancamento", "stg_financeiro__lancamentos",
         ("stg_financeiro__contas_receber",), ("id_pedido",), "dt_competencia",
+        ("id_pedido_dg",), (("stg_financeiro__lancamentos", "id_loja", "dim_loja"),), ("id_lancamento", "id_lancamento_dg"),
     ),
     "fato_cliente_interacao": Incremental(
         facts.build_sessions, "sk_sessao", "stg_web_analytics__sessoes",
         ("stg_web_analytics__eventos_carrinho",), ("id_sessao",), "dt_sessao",
+        ("id_sessao_dg",), (("stg_web_analytics__sessoes", "id_cliente", "dim_cliente"),),
     ),
 }
 
@@ -81,27 +111,52 @@ DIMENSIONS: dict[str, Callable[[dict[str, DataFrame], WarehouseConfig], DataFram
 }
 
 
-def restrict(dfs: dict[str, DataFrame], model: Incremental, mark: datetime) -> dict[str, DataFrame]:
-    """Inputs reduced to the keys with news in any input since ``mark``.
+def restrict(
+    dfs: dict[str, DataFrame], model: Incremental, marks: dict[str, datetime], stored: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Inputs reduced to the keys with news in any input since its mark, or with a dimension row come late.
 
     New driving rows are kept even when their key is NULL.
     """
     names = (model.driver, *model.inputs)
     key = list(model.key)
-    fresh = F.col(INGESTED) > F.lit(mark)
-    changed = reduce(DataFrame.union, [dfs[n].filter(fresh).select(*key) for n in names]).distinct()
+    fresh = {n: F.col(INGESTED) > F.lit(marks[n]) if n in marks else F.lit(True) for n in names}
+    late = [] if stored is None else [late_rows(dfs, model, stored, look) for look in model.lookups]
+    changed = reduce(DataFrame.union, [dfs[n].filter(fresh[n]).select(*key) for n in names] + [df.select(*key) for df in late])
+    changed = changed.distinct()
     out = {n: dfs[n].join(changed, key, "left_semi") for n in model.inputs}
     driver = dfs[model.driver]
-    keyless = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-    out[model.driver] = driver.join(changed, key, "left_semi").unionByName(driver.filter(fresh & keyless))
+    keyless = driver.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key]))
+    kept = driver.join(changed, key, "left_semi").unionByName(keyless.filter(fresh[model.driver]))
+    rows = [df.select(model.row[0]) for df in late if model.row and model.row[0] in df.columns]
+    if rows:
+        own = keyless.filter(~fresh[model.driver]).join(reduce(DataFrame.union, rows).distinct(), model.row[0], "left_semi")
+        kept = kept.unionByName(own)
+    out[model.driver] = kept
     return {**dfs, **out}
 
 
-def newest_ingestion(frames: Sequence[DataFrame]) -> datetime | None:
-    """Largest ingestion time over several inputs."""
-    marks = [high_water(df.select(F.unix_micros(INGESTED).alias("at")), "at") for df in frames]
-    known = [m for m in marks if m is not None]
-    return datetime.fromtimestamp(max(known) / 1_000_000, tz=timezone.utc) if known else None
+def late_rows(dfs: dict[str, DataFrame], model: Incremental, stored: DataFrame, lookup: tuple) -> DataFrame:
+    """Keys (and driver rows) of the input of ``lookup`` whose stored fact misses a dimension row that is there now."""
+    name, column, dim = lookup[:3]
+    natural, surrogate, _ = facts.DIMENSION_KEYS[dim]
+    current = dfs[dim].filter("fl_current") if "fl_current" in dfs[dim].columns else dfs[dim]
+    known = current.select(F.col(natural).alias(column)).distinct()
+    missing = stored.filter(F.col(surrogate).isin(*facts.MISSES))
+    row = lookup[3] if len(lookup) > 3 else model.row if name == model.driver else None
+    keys = list(zip(model.stored_key, model.key))
+    wanted = dfs[name].filter(F.col(column).isNotNull()).join(known, column, "left_semi")
+    if row:
+        ids = missing.select(F.col(row[1]).alias(row[0])).distinct()
+        return wanted.join(ids, row[0], "left_semi").select(*model.key, *([row[0]] if name == model.driver else []))
+    unresolved = missing.select(*[F.col(s).alias(k) for s, k in keys]).distinct()
+    return wanted.join(unresolved, list(model.key), "left_semi").select(*model.key)
+
+
+def newest_ingestion(frames: dict[str, DataFrame]) -> dict[str, datetime]:
+    """Largest ingestion time of each input that has rows."""
+    marks = {n: high_water(df.select(F.unix_micros(INGESTED).alias("at")), "at") for n, df in frames.items()}
+    return {n: datetime.fromtimestamp(m / 1_000_000, tz=timezone.utc) for n, m in marks.items() if m is not None}
 
 
 def build_all(dfs: dict[str, DataFrame], spark: SparkSession, cfg: WarehouseConfig) -> dict[str, DataFrame]:
@@ -172,18 +227,14 @@ class Transform:
         source = df.drop("valid_from", "valid_to", "fl_current", "hash_row")
         self._store(name, scd2_apply(before, source, key, tracked, self.cfg.today))
 
-    def _inputs(self, name: str, model: Incremental, mark: datetime | None) -> dict[str, DataFrame]:
+    def _inputs(self, name: str, model: Incremental, frames: dict[str, DataFrame], marks: dict[str, datetime]) -> dict[str, DataFrame]:
         """Inputs of a model for this run: everything, the affected keys, or a date window."""
-        frames = dict(self.frames)
-        if name == "fato_estoque" and (mark is None or self.cfg.full_refresh):
-            frames[model.driver] = self._stock_history()
-        if mark is None:
+        if not marks:
             return frames
         if name == "fato_venda" and self.cfg.sales_window_days is not None:
             newest = high_water(self.warehouse.read(name), model.day)
-            frames[model.driver] = last_days(frames[model.driver], model.day, newest, self.cfg.sales_window_days)
-            return frames
-        return restrict(frames, model, mark)
+            return {**frames, model.driver: last_days(frames[model.driver], model.day, newest, self.cfg.sales_window_days)}
+        return restrict(frames, model, marks, self.warehouse.read_or_none(name))
 
     def _stock_history(self) -> DataFrame:
         entry = TABLES_BY_NAME["estoque.saldo_estoque"]
@@ -193,14 +244,18 @@ class Transform:
 
     def _refresh(self, name: str) -> None:
         model = INCREMENTAL[name]
-        mark = None if self.cfg.full_refresh else self.warehouse.mark(name)
-        batch = model.build(self._inputs(name, model, mark), self.cfg)
+        frames = dict(self.frames)
+        if name == "fato_estoque":
+            # Staging has the last balance of a product and store; the fact has one per day, so it starts from all versions.
+            frames[model.driver] = self._stock_history()
+        marks = {} if self.cfg.full_refresh else self.warehouse.marks(name)
+        batch = model.build(self._inputs(name, model, frames, marks), self.cfg)
         day: Column = F.col(model.day)
         self.frames[name] = self.warehouse.upsert(
             batch,
             name,
             [model.unique_key],
             partition=month_partition(day),
-            full_refresh=self.cfg.full_refresh or mark is None,
-            mark=newest_ingestion([self.frames[n] for n in (model.driver, *model.inputs)]),
+            full_refresh=self.cfg.full_refresh or not marks,
+            marks=newest_ingestion({n: frames[n] for n in (model.driver, *model.inputs)}),
         )

@@ -88,14 +88,22 @@ def gold_freshness(facts: Mapping[str, DataFrame], now: datetime, hours: int = T
     return out
 
 
+def volume_verdict(rows: Column, least: Column | int, most: Column | int) -> Column:
+    """Where a row count stands to its range; a missing batch is below it."""
+    return F.when(rows.isNull() | (rows < least), "abaixo").when(rows > most, "acima").otherwise("ok")
+
+
 def check_volume(spark: SparkSession, root: str, day: date, expected=EXPECTED_ROWS) -> DataFrame:
     """Rows landed on ``day`` within their range (Q7); warnings only."""
-    rows = []
-    for name, (least, most) in expected.items():
-        n = batch_rows(spark, TABLES_BY_NAME[name], root, day)
-        passed = n is not None and least <= n <= most
-        rows.append((f"batch:{name}", "warning", str(n), f"{least}..{most}", passed))
-    return spark.createDataFrame(rows, RESULT)
+    found = [(name, batch_rows(spark, TABLES_BY_NAME[name], root, day), *bounds) for name, bounds in expected.items()]
+    rows = spark.createDataFrame(found, "name string, n long, least long, most long")
+    return rows.select(
+        F.concat(F.lit("batch:"), "name").alias("check"),
+        F.lit("warning").alias("severity"),
+        F.coalesce(F.col("n").cast("string"), F.lit("None")).alias("observed"),
+        F.concat_ws("..", F.col("least").cast("string"), F.col("most").cast("string")).alias("expected"),
+        (volume_verdict(F.col("n"), F.col("least"), F.col("most")) == "ok").alias("passed"),
+    )
 
 
 def check_freshness(

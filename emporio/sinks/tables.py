@@ -4,13 +4,16 @@ A table is a directory of snapshots, ``<root>/<name>/snapshot=<n>``, and a log
 of committed snapshot numbers.  A rebuild writes the next snapshot and then
 appends its number to the log, so readers never see half a table and nothing
 being read is overwritten.  Tables that grow without end are cut into
-partitions instead and replace only those a batch touches.
+partitions instead and replace only those a batch touches: their new content is
+written beside the table and swapped in partition by partition, so a reader may
+meet some partitions before and some after such a batch.  Snapshots before the
+last few, and what was written beside the table, are deleted after each commit.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -21,7 +24,8 @@ from emporio.operators.incremental import between
 from emporio.operators.upsert import align, upsert
 from emporio.sources.bronze import path_exists
 
-LOG_SCHEMA = "snapshot long, batch_id long, mark timestamp, schema string, committed_at timestamp"
+LOG_SCHEMA = "snapshot long, query_id string, batch_id long, marks map<string,timestamp>, schema string, committed_at timestamp"
+KEPT_SNAPSHOTS = 3
 PARTITION = "particao"
 
 
@@ -39,11 +43,16 @@ def _by_partition(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col(PARTITION))
 
 
+Marks = Mapping[str, datetime] | None
+# Id of a streaming query and number of its batch.
+StreamBatch = tuple[str, int] | None
+
+
 class Warehouse:
     """Named tables under one root, each written by one job at a time."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str, kept_snapshots: int = KEPT_SNAPSHOTS):
+        self.spark, self.kept_snapshots = spark, kept_snapshots
         self.root = root.rstrip("/")
         # Commit state per table as of this object's last look; its own commits refresh it.
         self._states: dict[str, Row | None] = {}
@@ -51,7 +60,7 @@ class Warehouse:
     # -- state ---------------------------------------------------------------
 
     def _state(self, name: str) -> Row | None:
-        """Current snapshot number and schema, last stream batch, high-water mark; ``None`` before any commit."""
+        """Current snapshot number and schema, and high-water marks; ``None`` before any commit."""
         if name not in self._states:
             self._states[name] = self._load_state(name)
         return self._states[name]
@@ -60,11 +69,11 @@ class Warehouse:
         path = f"{self.root}/{name}/_commits"
         if not path_exists(self.spark, path):
             return None
-        # The mark comes back as a number, so the zone of the driver's clock does not matter.
+        # Marks come back as numbers, so the zone of the driver's clock does not matter.
+        marks = F.max_by("marks", F.when(F.col("marks").isNotNull(), F.col("committed_at")))
         return self.spark.read.schema(LOG_SCHEMA).parquet(path).agg(
             F.max("snapshot").alias("snapshot"),
-            F.max("batch_id").alias("batch_id"),
-            F.unix_micros(F.max("mark")).alias("mark"),
+            F.transform_values(marks, lambda _, at: F.unix_micros(at)).alias("marks"),
             F.max_by("schema", "committed_at").alias("schema"),
         ).first()
 
@@ -72,8 +81,10 @@ class Warehouse:
         state = self._state(name)
         return (state["snapshot"] or 0) if state else 0
 
-    def _commit(self, name: str, snapshot: int, schema: T.StructType, batch_id: int | None, mark: datetime | None) -> None:
-        row = [(snapshot, batch_id, mark, schema.json(), datetime.now(timezone.utc))]
+    def _commit(self, name: str, snapshot: int, schema: T.StructType, batch: StreamBatch, marks: Marks) -> None:
+        query_id, batch_id = batch or (None, None)
+        all_marks = {**self.marks(name), **marks} if marks else None
+        row = [(snapshot, query_id, batch_id, all_marks, schema.json(), datetime.now(timezone.utc))]
         (
             self.spark.createDataFrame(row, LOG_SCHEMA)
             .coalesce(1)
@@ -85,16 +96,19 @@ class Warehouse:
     def exists(self, name: str) -> bool:
         return self._snapshot(name) > 0
 
-    def last_batch(self, name: str) -> int | None:
-        state = self._state(name)
-        return state["batch_id"] if state else None
+    def last_batch(self, name: str, query_id: str) -> int | None:
+        """Last batch of a stream (by the id its checkpoint gives it) in the table."""
+        path = f"{self.root}/{name}/_commits"
+        if not path_exists(self.spark, path):
+            return None
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(path)
+        return log.where(F.col("query_id") == query_id).agg(F.max("batch_id")).first()[0]
 
-    def mark(self, name: str) -> datetime | None:
-        """Ingestion time up to which the inputs of the table are already in it."""
+    def marks(self, name: str) -> dict[str, datetime]:
+        """By input: the ingestion time up to which it is already in the table."""
         state = self._state(name)
-        if not state or state["mark"] is None:
-            return None
-        return datetime.fromtimestamp(state["mark"] / 1_000_000, tz=timezone.utc)
+        found = (state["marks"] if state else None) or {}
+        return {k: datetime.fromtimestamp(at / 1_000_000, tz=timezone.utc) for k, at in found.items()}
 
     # -- reading -------------------------------------------------------------
 
@@ -127,8 +141,8 @@ class Warehouse:
         df: DataFrame,
         name: str,
         partition: Column | None = None,
-        batch_id: int | None = None,
-        mark: datetime | None = None,
+        stream_batch: StreamBatch = None,
+        marks: Marks = None,
     ) -> DataFrame:
         """Full rebuild (K6): write the next snapshot, then make it current."""
         snapshot = self._snapshot(name) + 1
@@ -138,7 +152,8 @@ class Warehouse:
         if partition is not None:
             writer = writer.partitionBy(PARTITION)
         writer.parquet(f"{self.root}/{name}/snapshot={snapshot}")
-        self._commit(name, snapshot, out.schema, batch_id, mark)
+        self._commit(name, snapshot, out.schema, stream_batch, marks)
+        self._delete(f"{self.root}/{name}/snapshot={snapshot - self.kept_snapshots}")
         return self.read(name)
 
     def upsert(
@@ -149,8 +164,8 @@ class Warehouse:
         partition: Column | None = None,
         order_by: Sequence[str] | None = None,
         full_refresh: bool = False,
-        batch_id: int | None = None,
-        mark: datetime | None = None,
+        stream_batch: StreamBatch = None,
+        marks: Marks = None,
     ) -> DataFrame:
         """Replace rows by key (K5); the first run or a full refresh just writes (K7).
 
@@ -158,13 +173,13 @@ class Warehouse:
         ``partition`` only the partitions involved are rewritten.
         """
         if full_refresh or not self.exists(name):
-            return self.overwrite(batch, name, partition, batch_id, mark)
+            return self.overwrite(batch, name, partition, stream_batch, marks)
         if partition is not None:
-            return self._upsert_partitions(batch, name, keys, partition, order_by, batch_id, mark)
+            return self._upsert_partitions(batch, name, keys, partition, order_by, stream_batch, marks)
         merged = upsert(align(self.read(name), batch.schema), batch, keys, order_by)
-        return self.overwrite(merged, name, batch_id=batch_id, mark=mark)
+        return self.overwrite(merged, name, stream_batch=stream_batch, marks=marks)
 
-    def _upsert_partitions(self, batch, name, keys, partition, order_by, batch_id, mark) -> DataFrame:
+    def _upsert_partitions(self, batch, name, keys, partition, order_by, stream_batch, marks) -> DataFrame:
         """Rewrite the partitions of the batch and those now holding one of its keys.
 
         The second kind matters when a row's date changed: it must leave its old
@@ -197,7 +212,8 @@ class Warehouse:
             filled = {r[0] for r in ready.select(PARTITION).distinct().collect()}
             for value in values - filled:
                 self._delete(f"{path}/{PARTITION}={value}")
-        self._commit(name, snapshot, batch.schema, batch_id, mark)
+        self._commit(name, snapshot, batch.schema, stream_batch, marks)
+        self._delete(f"{self.root}/{name}/_staged")
         return self.read(name)
 
     def _delete(self, path: str) -> None:

@@ -153,18 +153,26 @@ def test_staging_keeps_the_newest_version_over_batches(spark, tmp_path):
 def test_stream_catches_up_and_equals_batch(spark, tmp_path):
     root, w = tmp_path / "bronze", Warehouse(spark, str(tmp_path / "w"))
 
-    def run():
-        query = stream_staging(spark, STORES, str(root), w, str(tmp_path / "cp"), files_per_trigger=1)
+    def content(w, name):
+        return spark.read.parquet(f"{w.root}/{name}/_commits").where("batch_id IS NOT NULL").count()
+
+    def run(checkpoint="cp"):
+        query = stream_staging(spark, STORES, str(root), w, str(tmp_path / checkpoint), files_per_trigger=1)
         assert query.awaitTermination(120)
         return codes(w.read(STORES.staging_name))
 
     land(spark, root, "2026-04-03", (1, "A", "2026-04-01"), (2, "B", "2026-04-02"))
     land(spark, root, "2026-04-04", (2, "B2", "2026-04-03"))
     assert run() == {1: "A", 2: "B2"}
-    done = w.last_batch(STORES.staging_name)
-    assert run() == {1: "A", 2: "B2"} and w.last_batch(STORES.staging_name) == done
+    before = content(w, STORES.staging_name)
+    assert run() == {1: "A", 2: "B2"} and content(w, STORES.staging_name) == before
     land(spark, root, "2026-04-05", (2, "late", "2026-04-01"), (3, "C", "2026-04-05"))
     assert run() == {1: "A", 2: "B2", 3: "C"}
+    # A checkpoint that starts anew numbers its batches from 0 and still brings every row.
+    land(spark, root, "2026-04-06", (4, "D", "2026-04-06"))
+    assert run("moved") == {1: "A", 2: "B2", 3: "C", 4: "D"}
+    land(spark, root, "2026-04-07", (5, "E", "2026-04-07"))
+    assert run("moved") == {1: "A", 2: "B2", 3: "C", 4: "D", 5: "E"}
 
 
 def test_partitioned_upsert_moves_rows_and_touches_only_their_months(spark, tmp_path):

@@ -142,22 +142,39 @@ def test_distributed_orderings_match_brute_force(spark, hot):
     for i, v in ordered:
         running += v
         expected[i] = running / total
-    got = {r["id"]: r["cum_share"] for r in cumulative_share(df, "v", "id", cells=6, one_task_rows=0).collect()}
+    got = {r["id"]: r["cum_share"] for r in cumulative_share(df, "v", "id", cells=6).collect()}
     assert got == pytest.approx(expected)
     ranks = {v: k + 1 for k, v in enumerate(sorted({v for _, v in rows}, reverse=True))}
-    got = {r["id"]: r["rank"] for r in dense_rank_by(df, "v", cells=6, one_task_rows=0).collect()}
+    got = {r["id"]: r["rank"] for r in dense_rank_by(df, "v", cells=6).collect()}
     assert got == {i: ranks[v] for i, v in rows}
 
 
 def test_distributed_ordering_has_no_single_task_over_the_rows(spark):
     df = spark.range(5000).select("id", (F.col("id") % 7).alias("v"))
-    plan = running_totals(df, "v", "id", {"s": F.col("v")}, cells=4, one_task_rows=0)
+    plan = running_totals(df, "v", "id", {"s": F.col("v")}, cells=4)
     text = plan._jdf.queryExecution().executedPlan().toString()
     # The only SinglePartition exchange orders cell totals, which come out of an aggregate.
     single = text[text.index("SinglePartition"):]
     assert text.count("SinglePartition") == 1 and "HashAggregate" in single
 
 
+def test_running_totals_keep_rows_without_a_value(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 7), (4, None), (5, 5)], "id int, v int")
+    got = {r["id"]: r["s"] for r in running_totals(df, "v", "id", {"s": F.col("v")}, cells=3).collect()}
+    assert got == {3: 7, 1: 12, 5: 17, 2: 17, 4: 17}
+
+
+def test_period_shifts_clamp_at_month_ends(spark):
+    days = ["2024-01-28", "2024-01-29", "2024-01-30", "2024-01-31", "2024-02-28", "2024-02-29", "2024-03-28", "2024-03-29", "2024-03-30", "2024-03-31"]
+    df = spark.createDataFrame([(day(d), i, "x") for i, d in enumerate(days)], "d date, v int, other string")
+    shifts = {"m": (1, 0), "w": (0, 7), "both": (2, 1)}
+    got = {r["d"]: (r["m"], r["w"], r["both"]) for r in period_shifts(df, "d", "v", shifts).collect()}
+    value = dict(zip(map(day, days), range(len(days))))
+    joined = {r["d"]: tuple(value.get(r[c]) for c in ("m", "w", "b")) for r in df.select(
+        "d", F.add_months("d", -1).alias("m"), F.date_sub("d", 7).alias("w"), F.date_sub(F.add_months("d", -2), 1).alias("b")).collect()}
+    assert got == joined and len(got) == len(days)
+
+
 def test_dense_rank_puts_missing_values_last(spark):
     df = spark.createDataFrame([("a", 5), ("b", None), ("c", 9), ("d", 5)], "k string, v int")
     assert {r["k"]: r["rank"] for r in dense_rank_by(df, "v").collect()} == {"c": 1, "a": 2, "d": 2, "b": 3}

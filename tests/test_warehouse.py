@@ -19,6 +19,7 @@ from emporio.registry import TABLES_BY_NAME
 from emporio.sinks.bronze import append_bronze
 from emporio.sinks.control import WatermarkLog
 from emporio.sinks.export import append_audit, export, run_all
+from emporio.sinks.tables import Warehouse
 from test_models import TABLES, item, order
 
 D = Decimal
@@ -88,6 +89,39 @@ def test_nothing_new_changes_nothing(spark, runs):
     assert {n: content(again[n]) for n in before} == before
 
 
+def test_incremental_equals_a_rebuild_whatever_lands_when(spark, tmp_path):
+    """Two stock snapshots and a late movement in one run, a product after its sale, a table landing late with an old stamp."""
+    bronze = str(tmp_path / "bronze")
+    cfg = WarehouseConfig(bronze_root=bronze, warehouse_root=str(tmp_path / "w"), as_of=date(2026, 7, 20))
+    late = {"produtos.produtos", "rh.comissoes"}
+    land(spark, bronze, "2026-07-17 05:00", {n: rows for n, rows in TABLES.items() if n not in late})
+    Transform(spark, cfg).run()
+    # Lands after the first run looked, with the stamp of the batch it belongs to.
+    land(spark, bronze, "2026-07-17 05:00", {n: TABLES[n] for n in late})
+    stock, move = dict(TABLES["estoque.saldo_estoque"][0]), dict(TABLES["estoque.movimentacoes"][0])
+    days = [date(2026, 7, 17), date(2026, 7, 18)]
+    land(spark, bronze, "2026-07-18 05:00", {
+        "estoque.saldo_estoque": [{**stock, "qtd_disponivel": k, "dt_ultima_atualizacao": d, "updated_at": at(f"{d} 10:00")} for k, d in enumerate(days)],
+        "estoque.movimentacoes": [{**move, "id_movimentacao": 900, "updated_at": at("2026-07-18")}],
+    })
+    incremental = Transform(spark, cfg).run()
+    full = Transform(spark, replace(cfg, warehouse_root=str(tmp_path / "full"), full_refresh=True)).run()
+    assert [n for n in full if content(incremental[n]) != content(full[n])] == []
+    assert incremental["fato_estoque"].filter("id_produto_nk = 1").count() == 3
+    assert incremental["fato_venda"].filter("sk_produto = 'DESCONHECIDO'").count() == full["fato_venda"].filter("sk_produto = 'DESCONHECIDO'").count()
+
+
+def test_storage_is_cleaned_up(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path), kept_snapshots=2)
+    part = F.floor(F.col("id") / 10)
+    for k in range(4):
+        w.overwrite(spark.range(3), "whole")
+        w.upsert(spark.range(k, k + 2), "parts", ["id"], partition=part)
+    assert sorted(p.name for p in (tmp_path / "whole").iterdir()) == ["_commits", "snapshot=3", "snapshot=4"]
+    assert sorted(p.name for p in (tmp_path / "parts").iterdir()) == ["_commits", "snapshot=1"]
+    assert w.read("parts").count() == 5
+
+
 def test_versions_are_kept_when_asked(spark, runs, tmp_path):
     cfg, _, incremental, _ = runs
     first = Transform(spark, replace(cfg, warehouse_root=str(tmp_path), keep_versions=True))
