@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from llm.common import LAST_ID, given_id, identified, row_key, stored
 
 WINDOW = 13
-LOOKED_UP = 2  # rarest terms of a window
+LOOKED_UP = 2  # rarest terms of a window; ``candidates`` relies on there being two at most
 BROADCAST_TERMS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-cased text
@@ -86,8 +86,10 @@ def _diagonals(lists: DataFrame, probes: DataFrame) -> DataFrame:
 
 def candidates(named: DataFrame, probes: DataFrame) -> DataFrame:
     """``(did, tkey, row, diagonal)`` where all looked-up terms of a window meet."""
-    met = _diagonals(postings(named, probes), probes).groupBy("row", "probe", "terms", "did", "tkey", "diagonal").agg(F.count("*").alias("n"))
-    return met.where("n = terms").select("did", "tkey", "row", "diagonal").distinct()
+    met = _diagonals(postings(named, probes), probes).groupBy("row", "probe", "terms", "did", "tkey", "diagonal").agg(
+        F.min("place").alias("first"), F.max("place").alias("last")
+    )
+    return met.where("terms = 1 OR first < last").select("did", "tkey", "row", "diagonal").distinct()
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, slack: int = 5) -> DataFrame:
@@ -100,10 +102,16 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slack: int = 5) ->
     probes = lookups(_items(benchmark), named)
     rows = _diagonals(postings(named, probes), probes)
     cells = F.array(*[F.struct(F.lit(g).alias("grid"), F.floor((F.col("diagonal") + g * slack) / size).alias("cell")) for g in (0, 1)])
+    # A cell has at most as many entries as diagonals and terms.
     met = rows.withColumn("at", F.explode(cells)).groupBy("item", "probe", "terms", "did", "tkey", "at").agg(
-        F.count_distinct("place").alias("places"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high")
+        F.sort_array(F.collect_set(F.struct("diagonal", "place"))).alias("entries")
+    )
+    pairs = F.zip_with(
+        F.col("entries"), F.slice("entries", 2, F.greatest(F.lit(1), F.size("entries"))),
+        lambda a, b: (a["place"] != b["place"]) & (b["diagonal"] - a["diagonal"] <= slack),
     )
-    near = met.where("places = terms").groupBy("item", "probe", "did", "tkey", "low").agg(F.max("high"))
+    near = met.where((F.col("terms") == 1) | F.exists(pairs, lambda p: F.coalesce(p, F.lit(False))))
+    near = near.select("item", "probe", "did", "tkey", F.get("entries", F.lit(0))["diagonal"].alias("low")).distinct()
     return near.groupBy(given_id(F.col("did")).alias("doc_id"), F.col("item").alias("item_id")).agg(F.count("*").alias("n"))
 
 

@@ -4,7 +4,8 @@ Base findings come from fixed patterns and always stay.  Candidates are all runs
 mixed enough to be a secret.  A network in numpy reads ``BEFORE`` characters before a candidate, ``INSIDE`` of its own
 and ``AFTER`` behind it as classes of characters: convolutions of width ``WIDTH`` over learned class vectors, the
 highest response of each filter inside and around the candidate, and one linear layer.  It is trained here, on at most
-``LABELLED`` findings and as many other candidates of the corpus, and on made-up examples of both.  A held-out part
+``LABELLED`` findings and as many other candidates of the corpus, and on made-up examples of both.  Other candidates may
+be secrets no pattern knows, so a first network, trained without them, sets aside those it takes for secrets.  A held-out part
 calibrates the scores and gives the threshold: the highest one that finds ``RECALL`` of the held-out findings.
 Accepted candidates that touch no base finding are added as kind ``model``.
 
@@ -40,6 +41,7 @@ WIDTH, FILTERS, VECTOR = 4, 16, 6
 LABELLED = 1500
 SAMPLE_DOCS = 20_000
 RECALL = 0.97
+RELIABLE = 0.8  # other candidates that the first network scores higher are not taught as harmless
 EPOCHS, RATE, BATCH = 12, 0.05, 64
 SEED = 23
 CHUNK = 256  # candidates scored at a time
@@ -272,8 +274,12 @@ def fitted(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, labelled: int = LABE
         more.append((w[0].tobytes(), label))
     rows += more
     windows = np.stack([np.frombuffer(w, np.uint8) for w, _ in rows])
+    labels = np.array([y for _, y in rows])
     test = np.array([hashlib.sha1(w).digest()[0] % 5 == 0 for w, _ in rows])
-    return train(windows, np.array([y for _, y in rows]), test)
+    known = (labels == 1) | (np.arange(len(rows)) >= len(rows) - len(more))
+    first = train(windows[known], labels[known], test[known])
+    keep = known | (first.scores(windows) < RELIABLE)
+    return train(windows[keep], labels[keep], test[keep])
 
 
 def _scan(net: Network):
