@@ -102,18 +102,19 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of a base modulo 2**64 and of its inverse; kept for pieces of usual size."""
-    if base not in _powers or len(_powers[base][0]) <= n:
-        size = max(n + 1, (PIECE_BYTES + 1) * 5 // 4)
-        factor = np.full(size, _BASES[base], np.uint64)
-        factor[0] = 1
-        inverse = np.full(size, pow(int(_BASES[base]), -1, 1 << 64), np.uint64)
-        inverse[0] = 1
-        both = np.multiply.accumulate(factor), np.multiply.accumulate(inverse)
-        if n > 8 * PIECE_BYTES:
-            return both
+    """Powers 0..n of a base modulo 2**64 and of its inverse; kept for pieces of usual size, made anew for longer texts."""
+    usual = PIECE_BYTES * 5 // 4
+    if n < usual and base in _powers:
+        return _powers[base]
+    size = max(n + 1, usual)
+    factor = np.full(size, _BASES[base], np.uint64)
+    factor[0] = 1
+    inverse = np.full(size, pow(int(_BASES[base]), -1, 1 << 64), np.uint64)
+    inverse[0] = 1
+    both = np.multiply.accumulate(factor), np.multiply.accumulate(inverse)
+    if n < usual:
         _powers[base] = both
-    return _powers[base]
+    return both
 
 
 class Windows:

@@ -30,7 +30,7 @@ from llm.common import Windows, byte_windows, mix, pieces, rows_of, spaced_words
 TOKENIZERS = "/opt/tokenizers"
 RANKS, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
 MIN_WORDS = 50
-PIECE = 3 << 20  # bytes of text that share one table of words
+PIECE = 1 << 20  # bytes of text that share one table of words
 REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
 

@@ -104,7 +104,9 @@ def candidate_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(before))
     if len(keep):
         digits, upper, letters = sums(_DIGIT), sums(_UPPER), sums(_LETTER)
-        keep = keep[((digits[keep] >= 2) & (letters[keep] >= 1)) | ((long[keep] >= 16) & ((digits[keep] >= 1) | (upper[keep] >= 3)))]
+        d, u, low = digits[keep], upper[keep], (letters - upper)[keep]
+        # Numbers alone and words alone are none, whatever their case.
+        keep = keep[((d >= 2) & (u + low >= 1)) | ((long[keep] >= 16) & (((d >= 1) & (u + low >= 1)) | ((u >= 3) & (low >= 3))))]
     return starts[keep], ends[keep], rows[keep]
 
 
