@@ -124,13 +124,16 @@ def _probes(buckets: int, width: int):
             if len(hashes) > 2:
                 hashes = np.concatenate([hashes[:2], hashes[2:][hashes[2:] != hashes[:-2]]])  # two of each at most
             low = lambda h: h.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+            cut_off = np.uint64((1 << 8 * width) - 1)
+            # Sorted, and the first bytes of all before the second: high bytes then repeat, and pack well.
+            planes = lambda h: np.sort(h & cut_off).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
             order, parts = by_bucket(block_hash, buckets)
             asked = {p: order[a:b] for p, a, b in parts}
             out = []
             for p, a, b in by_bucket(hashes, buckets)[1]:
                 own = asked.get(p, order[:0])
                 own.sort()
-                out.append((p, len(own).to_bytes(4, "little") + low(block_hash[own]) + low(hashes[a:b]), *packed_rows(block_row[own], block_no[own], dids, tkeys)))
+                out.append((p, len(own).to_bytes(4, "little") + low(block_hash[own]) + planes(hashes[a:b]), *packed_rows(block_row[own], block_no[own], dids, tkeys)))
             yield _messages(out)
 
     return probe
@@ -149,6 +152,12 @@ def _widened(raw: bytes, width: int) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+def _from_planes(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    return out.view(np.uint64).ravel()
+
+
 def _met(width: int, homes: int):
     """Blocks of a bucket whose hash stands in the bucket twice or more."""
 
@@ -157,9 +166,9 @@ def _met(width: int, homes: int):
         for payload in group["payload"]:
             cut = 4 + width * int.from_bytes(payload[:4], "little")
             blocks.append(payload[4:cut])
-            all_.append(payload[cut:])
+            all_.append(_from_planes(payload[cut:], width))
         doc, ids, places = unpacked(group)
-        seen = np.sort(_widened(b"".join(all_), width))
+        seen = np.sort(np.concatenate(all_))
         asked = _widened(b"".join(blocks), width)
         many = np.searchsorted(seen, asked, "right") - np.searchsorted(seen, asked, "left") > 1
         return answers(doc[many], ids, places[many], homes)
