@@ -425,7 +425,8 @@ def marked_texts(docs: DataFrame) -> DataFrame:
     intervals = stored(repeated_intervals(stretches, buckets, partitions), "repeats")
     edges = named.join(intervals, ["did", "tkey"], "left").mapInArrow(_edge_windows(4 * buckets), _MESSAGE)
     equal = gathered(edges.groupBy("bucket").applyInPandas(_equal(shards), _REPLY))
-    return named.join(intervals.join(equal, ["did", "tkey"], "left"), ["did", "tkey"], "left")
+    # A text may have equal windows and no interval: few cuts.
+    return named.join(intervals, ["did", "tkey"], "left").join(equal, ["did", "tkey"], "left")
 
 
 def suffix_dedup(docs: DataFrame) -> DataFrame:

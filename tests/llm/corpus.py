@@ -35,6 +35,7 @@ def corpus(seed: int = 1, n: int = 60) -> list[tuple]:
         texts[k] = (texts[k] or "")[:120] + " " + passage + (texts[k] or "")[120:]
     texts[7] = passage + passage
     texts[8], texts[10], texts[13] = None, "", " \n\t"
+    texts[22] = "wh " * 250 + texts[2]  # repeats without cuts, in a text without other repeats
     texts[14] = "abcdefghij klmnopqrst uvwxyz 0123456789 " * 40
     texts[20] = "ab " * 120
     texts[21] = " ".join(words(rng, 9000))
