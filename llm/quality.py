@@ -6,8 +6,15 @@ language that a vocabulary was made for has few tokens; noise, keys, encodings a
 bytes, or into few kinds of token.  A text is rejected where a measure leaves the band of its language, or else of its
 script.  Texts of fewer than ``MIN_WORDS`` words, or made of repeated word triples, fail by the base rules.
 
+Bands come from the corpus: the quartiles of each measure over all texts that pass the base rules, per language and
+script, and per script for languages of fewer than ``LEAST`` texts.  A bound lies ``FENCE`` times the quartiles' distance
+beyond them, and at least a fixed part from the median, so that a corpus of mostly copies does not narrow it to nothing.
+Only where a script has too few texts as well do the fixed bands below hold.  Characters per token have no upper bound
+of the corpus: text that a vocabulary knows better than the rest is no junk.
+
 Each distinct word of a piece of rows is tokenised once, with the space before it, and the counts are put together per
-row; words never share tokens, so the parts add up.  Words are those between white space.  One pass, no shuffle.
+row; words never share tokens, so the parts add up.  Words are those between white space.  One pass for the measures,
+and quartiles that combine before the shuffle; the pipeline's stage measures its texts again rather than store them.
 
 Defined cases: NULL and empty texts have no words and fail; an unknown or NULL language falls to the script's band;
 a text without letters belongs to script ``other``.
@@ -22,10 +29,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from llm.common import Windows, byte_windows, mix, pieces, rows_of, spaced_words
+from llm.common import Windows, byte_windows, mix, pieces, rows_of, spaced_words, stored
 
 TOKENIZERS = "/opt/tokenizers"
 RANKS, PIECES = "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"
@@ -45,7 +53,11 @@ class Band:
     bytes_high: float
 
 
-# By language first, then by script.  Wide on purpose: they hold ordinary prose and turn away what no writer produces.
+LEAST = 100  # texts that make quartiles
+FENCE = 3.0
+LEAST_PARTS = (0.95, 0.8, 0.10)  # characters and entropy, as parts of the median; byte share, above the median
+
+# For tables too small for quartiles, by language first, then by script.  Wide: they turn away what no writer produces.
 LANGUAGE_BANDS = {
     "en": Band(1.5, 8.0, 0.45, 0.10), "de": Band(1.4, 8.0, 0.45, 0.10),
     "fr": Band(1.3, 8.0, 0.45, 0.10), "es": Band(1.4, 8.0, 0.45, 0.10),
@@ -64,8 +76,10 @@ _SYMBOL[list(SYMBOLS)] = True
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_chars_token double, "
-    "token_entropy double, byte_share double, base_failed boolean, kept boolean"
+    "token_entropy double, byte_share double, base_failed boolean"
 )
+_JUDGED = ("n_chars_token", "token_entropy", "byte_share", "base_failed")
+_KINDS = {"string": StringType(), "double": DoubleType(), "boolean": BooleanType()}
 
 
 @lru_cache(2)
@@ -187,50 +201,105 @@ def fertility(data: np.ndarray, words, word_chars: np.ndarray, folder: str):
         return word_chars / n_tokens, relative, n_bytes / n_pieces
 
 
-def _script_bands(data: np.ndarray, offsets: np.ndarray) -> list[Band]:
+def _scripts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     counts = np.stack([_group_sums(table[data], offsets) for table in (_LATIN, _GREEK, _BEYOND)])
-    names = np.array(["latin", "greek_cyrillic", "other_letters"])[counts.argmax(0)]
-    return [SCRIPT_BANDS[n if c else "other"] for n, c in zip(names, counts.sum(0))]
+    names = np.array(["latin", "greek_cyrillic", "other_letters"], object)[counts.argmax(0)]
+    return np.where(counts.sum(0) > 0, names, "other")
 
 
-def measured(batches, folder: str, language_bands: dict[str, Band]) -> Iterator[pa.RecordBatch]:
-    """Batches with ``text`` and ``lang`` to the same rows with measures and verdicts after their own columns."""
+def measured(batches, folder: str) -> Iterator[pa.RecordBatch]:
+    """Batches with ``text`` and ``lang`` to the same rows with script and measures after their columns but ``text``."""
     for batch, data, offsets in pieces(batches, PIECE):
         words, base = base_measures(data, offsets)
         n_words, word_chars, _, _, n_repeat = base
-        per_token, entropy, byte_share = fertility(data, words, word_chars, folder)
+        shares = fertility(data, words, word_chars, folder)
         failed = (n_words < MIN_WORDS) | (100 * n_repeat > REPEAT_PERCENT * n_words)
-        langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
-        bands = [language_bands.get(lang, script) for lang, script in zip(langs, _script_bands(data, offsets))]
-        low, high, floor, most = np.array([(b.chars_low, b.chars_high, b.entropy_low, b.bytes_high) for b in bands]).T
-        with np.errstate(invalid="ignore"):
-            fits = (per_token >= low) & (per_token <= high) & (entropy >= floor) & (byte_share <= most)
-        own = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] not in ("text", "lang")]
-        names = [n for n in batch.schema.names if n not in ("text", "lang")]
-        made = [*map(lambda x: pa.array(x.astype(np.int64)), base), *map(lambda x: pa.array(np.nan_to_num(x)), (per_token, entropy, byte_share))]
-        made += [pa.array(failed), pa.array(~failed & fits)]
-        yield pa.RecordBatch.from_arrays([*own, *made], names=[*names, *[c.split()[0] for c in MEASURES.split(", ")]])
+        own = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "text"]
+        names = [n for n in batch.schema.names if n != "text"]
+        made = [pa.array(_scripts(data, offsets), pa.string())]
+        made += [*map(lambda x: pa.array(x.astype(np.int64)), base), *map(lambda x: pa.array(np.nan_to_num(x)), shares)]
+        made += [pa.array(failed)]
+        yield pa.RecordBatch.from_arrays([*own, *made], names=[*names, "script", *[c.split()[0] for c in MEASURES.split(", ")]])
 
 
-def quality_rules(docs: DataFrame, folder: str = TOKENIZERS, language_bands: dict[str, Band] | None = None) -> DataFrame:
-    """``doc_id`` and all measures and verdicts of each row of ``docs``."""
-    bands = LANGUAGE_BANDS if language_bands is None else language_bands
+def _measures(docs: DataFrame, folder: str) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    return narrow.mapInArrow(lambda it: measured(it, folder, bands), f"doc_id long, {MEASURES}")
+    return narrow.mapInArrow(lambda it: measured(it, folder), f"doc_id long, lang string, script string, {MEASURES}")
+
+
+def fences(measures: DataFrame, *keys: str) -> DataFrame:
+    """``(*keys, bounds)``: the bounds that the corpus gives each group of at least ``LEAST`` texts."""
+    names = ("n_chars_token", "token_entropy", "byte_share")
+    quartiles = [F.percentile_approx(c, [0.25, 0.5, 0.75], 10_000).alias(c) for c in names]
+    groups = measures.where(~F.col("base_failed")).dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("_n"), *quartiles)
+    low = lambda c, part: F.least(F.col(c)[0] - FENCE * (F.col(c)[2] - F.col(c)[0]), part * F.col(c)[1])
+    share = F.col("byte_share")
+    high = F.greatest(share[2] + FENCE * (share[2] - share[0]), share[1] + LEAST_PARTS[2])
+    bounds = F.struct(
+        low("n_chars_token", LEAST_PARTS[0]).alias("chars_low"), low("token_entropy", LEAST_PARTS[1]).alias("entropy_low"), high.alias("bytes_high")
+    )
+    return groups.where(F.col("_n") >= LEAST).select(*keys, bounds.alias(f"__by_{keys[0]}"))
+
+
+def corpus_fences(measures: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bounds by language and script, and by script: few rows, as many as there are languages in four scripts."""
+    return stored(fences(measures, "lang", "script"), "fences"), stored(fences(measures, "script"), "fences")
+
+
+def _fits(language_bands: dict[str, Band], name: str, script: str, lang: str, fitted: bool) -> Column:
+    """Whether the measure lies in its band: that of the corpus if ``fitted`` and there is one, else the fixed one."""
+
+    def fixed(field: str) -> Column:
+        table = lambda bands, c: F.create_map(*[F.lit(x) for k, b in bands.items() for x in (k, float(getattr(b, field)))])[F.col(c)]
+        own = [table(language_bands, lang)] if language_bands else []
+        return F.coalesce(*own, table(SCRIPT_BANDS, script))
+
+    bound = lambda field: F.coalesce(F.col(f"__by_lang.{field}"), F.col(f"__by_script.{field}"), fixed(field)) if fitted else fixed(field)
+    n = lambda c: F.col(name + c)
+    return (
+        (n("n_chars_token") >= bound("chars_low")) & (n("n_chars_token") <= fixed("chars_high"))
+        & (n("token_entropy") >= bound("entropy_low")) & (n("byte_share") <= bound("bytes_high"))
+    )
+
+
+def quality_rules(docs: DataFrame, folder: str = TOKENIZERS, language_bands: dict[str, Band] | None = None) -> DataFrame:
+    """``doc_id`` and all measures and verdicts of each row of ``docs``; given bands hold in place of the corpus's."""
+    rows, fitted = _measures(docs, folder), language_bands is None
+    if fitted:
+        rows = stored(rows, "measures")
+        by_lang, by_script = corpus_fences(rows)
+        rows = rows.join(F.broadcast(by_lang), ["lang", "script"], "left").join(F.broadcast(by_script), "script", "left")
+    kept = ~F.col("base_failed") & _fits(LANGUAGE_BANDS if fitted else language_bands, "", "script", "lang", fitted)
+    return rows.select("doc_id", *[c.split()[0] for c in MEASURES.split(", ")], kept.alias("kept"))
 
 
 def accepted(docs: DataFrame, folder: str = TOKENIZERS, language_bands: dict[str, Band] | None = None) -> DataFrame:
     """The rows of ``docs`` that the rules keep, unchanged."""
-    bands = LANGUAGE_BANDS if language_bands is None else language_bands
-    names = docs.columns
+    if not {"text", "lang"} <= set(docs.columns):
+        return docs
+    fitted = language_bands is None
+    made = ["lang string", "script string", *[c for c in MEASURES.split(", ") if c.split()[0] in _JUDGED]]
 
-    def keep(batches):
+    def measure(batches):
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            verdict = pa.Table.from_batches(list(measured([batch.select(["text", "lang"])], folder, bands))).column("kept")
-            yield from table.filter(verdict).to_batches()
-
-    return docs.mapInArrow(keep, docs.schema) if {"text", "lang"} <= set(names) else docs
+            two = batch.select(["text", "lang"])
+            two = two.set_column(1, "lang", two.column(1).cast(pa.string()))
+            own = pa.Table.from_batches(list(measured([two], folder))).combine_chunks()
+            columns = [own.column(c.split()[0]).combine_chunks() for c in made]
+            columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *[f"__{c.split()[0]}" for c in made]])
+
+    schema = StructType(docs.schema.fields + [StructField(f"__{c.split()[0]}", _KINDS[c.split()[1]]) for c in made])
+    rows = docs.mapInArrow(measure, schema)
+    if fitted:
+        # Texts are measured twice: first for the bands, which need few numbers of each, then for their own verdict.
+        narrow = docs.select(F.lit(None).cast("long").alias("doc_id"), "lang", "text")
+        by_lang, by_script = corpus_fences(stored(_measures(narrow, folder).select("lang", "script", *_JUDGED), "measures"))
+        own, script = by_lang.toDF("__l", "__s", "__by_lang"), by_script.toDF("__t", "__by_script")
+        rows = rows.join(F.broadcast(own), (F.col("__lang") == F.col("__l")) & (F.col("__script") == F.col("__s")), "left")
+        rows = rows.join(F.broadcast(script), F.col("__script") == F.col("__t"), "left")
+    bands = LANGUAGE_BANDS if fitted else language_bands
+    return rows.where(~F.col("__base_failed") & _fits(bands, "__", "__script", "__lang", fitted)).select(*docs.columns)
 
 
 def op9(docs: DataFrame) -> DataFrame:

@@ -260,6 +260,21 @@ def test_bands_reject_by_language_or_script(spark):
     assert 1 not in {r.doc_id for r in strict.collect()}
 
 
+def test_bands_of_the_corpus_reject_junk_and_keep_prose(spark):
+    """Letters that break into many tokens, in a language and in a table large enough for quartiles."""
+    rng = random.Random(12)
+    known = "the old house by river had garden where many children used to play during long summer days nobody knew who planted tall trees that stood around it".split()
+    prose = [" ".join(rng.choice(known) + str(rng.randrange(10) or "") for _ in range(120)) for _ in range(150)]
+    junk = [" ".join(rng.choice(known) + rng.choice(["***", "%%%", "&&&"]) + str(rng.randrange(10)) + "xq" for _ in range(120)) for _ in range(12)]
+    rows = [(k, t, "en" if k % 10 else None, "x") for k, t in enumerate(prose + junk)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, by_lang string").repartition(3)
+    got = {r.doc_id: r for r in op9(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[k].kept for k in range(150)) and not any(got[k].kept for k in range(150, 162) if k % 10)
+    kept = accepted(df)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {k for k, r in got.items() if r.kept}
+
+
 # Mixing
 
 
