@@ -155,6 +155,46 @@ def test_exact_lines_are_kept_once(docs, rows):
     assert sum(n for _, n in got) >= sum(n for _, n in want) > 0
 
 
+def changed(rng: random.Random, line: str, kind: int) -> str:
+    """The line with edits of a kind: one word, several words, or characters all over, within the similarity."""
+    w, most = line.split(), int((1 - SIMILARITY) * len(line))
+    if kind == 2:
+        out = list(line)
+        for _ in range(most):
+            out[rng.randrange(len(out))] = rng.choice("abcdefghijklmnop")
+        return "".join(out)
+    for _ in range(1 if kind == 0 else 3):
+        k = rng.randrange(len(w))
+        if len(w[k]) <= most:
+            most -= len(w[k])
+            w[k] = "".join(rng.choice("abcdefghijklmnop") for _ in w[k])
+    return " ".join(w)
+
+
+def test_similar_lines_of_all_lengths_meet(spark):
+    """Recall against edit distance on lines of 1 to 50 words; near all pairs, and each of up to 39 characters."""
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("aeioubcdfghlmnprstvwé") for _ in range(rng.randrange(3, 9)))
+    rows, pairs = [], []
+    for n in (2, 3, 5, 7, 10, 15, 20, 30, 50):
+        for k in range(24):
+            a = " ".join(word() for _ in range(n))
+            b = changed(rng, a, k % 3)
+            if a != b and lev(normal_line(a), normal_line(b)) <= int((1 - SIMILARITY) * max(len(a), len(b)) + 1e-9):
+                rows += [(2 * len(pairs), a), (2 * len(pairs) + 1, b)]
+                pairs.append(len(a))
+    got = {r.doc_id: r.n_removed for r in op8(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    found = [got[2 * k + 1] for k in range(len(pairs))]
+    assert len(pairs) > 120 and not any(got[2 * k] for k in range(len(pairs)))
+    assert all(f for f, n in zip(found, pairs) if n < 40) and sum(found) >= 0.97 * len(pairs)
+
+
+def test_short_lines_go_too(spark):
+    rows = [(1, "Menu\n---\nread more"), (2, "menu\n---\nRead more!"), (3, "漢字漢字漢字漢字漢字漢字漢"), (4, "漢字漢字漢字漢字漢字漢字漢。"), (5, "漢字漢字漢字漢字漢字漢字字")]
+    got = {r.doc_id: r.removed_lines for r in op8(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "", 2: "0,2", 3: "", 4: "0", 5: "0"}
+
+
 def test_empty_tables(empty):
     for fn in (op1, op5, op8, op10):
         assert fn(empty).count() == 0
