@@ -7,12 +7,12 @@ the others are ``revisit`` records that refer to it.
 Reading: the archive is cut at every ``WARC/1.1`` line, also those inside payloads.  Each task parses each piece as if a
 record began there, and emits the candidate with its offset and the offset of its successor, which the declared length
 gives.  Pointer jumping from the start of each file then keeps the candidates that can be reached; the others are
-payload bytes that look like records.  Links inside a block of ``BLOCK`` bytes of a file are followed by one task; the
+payload bytes that look like records.  Files are read unsplit, also those that Spark could split.  Links inside a block of ``BLOCK`` bytes of a file are followed by one task; the
 jumps between blocks double their reach with each round.
 
 Defined cases: a NULL html is an empty payload; equal payloads include empty ones; rows with the largest id of equal
 payloads are all responses; bytes after a broken length are not reached and are left out; an empty table writes no
-record and reads back as no rows.
+record and reads back as no rows; a file that begins with anything but a ``WARC/1.1`` record is an error.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import re
 import uuid
 from base64 import b32encode
 from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 import pandas as pd
 import pyarrow as pa
@@ -138,7 +139,9 @@ def _parse(keep_payload: bool):
             for value, name in zip(batch.column(0), batch.column(1)):
                 piece = value.as_buffer().to_pybytes() if value.is_valid else b""
                 if name.as_py() != file:
-                    file, at, waiting = name.as_py(), len(piece), []  # what comes before the first record
+                    file, at, waiting = name.as_py(), len(piece), []
+                    if piece:  # what comes before the first record
+                        raise ValueError(f"{file} does not begin with {MAGIC.strip()}: {piece[:40]!r}")
                     continue
                 whole = magic + piece if waiting else b""
                 for c in waiting:
@@ -210,10 +213,28 @@ def reachable(links: DataFrame) -> DataFrame:
     return marked.groupBy("file", "block").applyInPandas(_kept, "file string, offset long")
 
 
+@contextmanager
+def _unsplit(spark: SparkSession):
+    """Each file is one partition: a split holds as much as any file, and opening a file counts as a whole split."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    minimum = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    try:
+        for n in names:
+            spark.conf.set(n, str(1 << 40))
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        yield
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
+        spark.conf.unset("spark.sql.files.minPartitionNum") if minimum is None else spark.conf.set("spark.sql.files.minPartitionNum", minimum)
+
+
 def read_warc(spark: SparkSession, folder: str, payloads: bool = False) -> DataFrame:
     """Verified records of the archives in ``folder``; ``payload`` is filled if ``payloads``."""
     pieces = spark.read.option("lineSep", MAGIC).text(folder).select("value", F.col("_metadata.file_path").alias("file"))
-    found = stored(pieces.mapInArrow(_parse(payloads), _CANDIDATE), "candidates")
+    with nullcontext() if all(f.endswith(".gz") for f in pieces.inputFiles()) else _unsplit(spark):
+        found = stored(pieces.mapInArrow(_parse(payloads), _CANDIDATE), "candidates")
     return found.join(reachable(found.select("file", "block", "offset", "next")), ["file", "offset"])
 
 

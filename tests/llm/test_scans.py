@@ -75,6 +75,23 @@ def test_payloads_come_back_and_magic_inside_is_no_record(spark, tmp_path):
     assert 999 not in back
 
 
+def test_large_uncompressed_archives_come_back(spark, tmp_path):
+    df = spark.range(400).selectExpr("id AS page_id", "concat('u', id) AS url", "repeat(concat('x', id), 2000) AS html").coalesce(1)
+    write_warc(df, str(tmp_path / "w"), "none")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+    try:
+        back = read_warc(spark, str(tmp_path / "w"), payloads=True).select("page_id", "payload").collect()
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "300k"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.page_id, r.payload) for r in back) == [(k, f"x{k}" * 2000) for k in range(400)]
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "a.warc").write_bytes(b"WARC/1.0\r\nContent-Length: 0\r\n\r\n\r\n\r\n")
+    with pytest.raises(Exception, match="does not begin with"):
+        read_warc(spark, str(tmp_path / "old"))
+
+
 def test_no_pages(spark):
     assert op2(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
