@@ -6,13 +6,14 @@ and ``AFTER`` behind it as classes of characters: convolutions of width ``WIDTH`
 highest response of each filter inside and around the candidate, and one linear layer.  It is trained here, on at most
 ``LABELLED`` findings and as many other candidates of the corpus, and on made-up examples of both.  Other candidates may
 be secrets no pattern knows, so a first network, trained without them, sets aside those it takes for secrets.  A held-out part
-calibrates the scores and gives the threshold: the highest one that finds ``RECALL`` of the held-out findings.
-Accepted candidates that touch no base finding are added as kind ``model``.
+calibrates the scores; held-out keys of forms that no base pattern covers give the threshold, the highest one that finds
+``RECALL`` of them.  A run longer than ``INSIDE`` is read by overlapping windows and has the highest of their scores.
+What base findings leave of a run is a candidate of its own.  Accepted candidates are added as kind ``model``.
 
 One pass to gather labelled candidates (a bounded number reaches the driver), one to scan; no shuffle of texts.
 
-Defined cases: NULL and empty texts have no findings; a corpus without findings trains on the made-up examples; very
-long runs are read by their first characters and reported whole; an empty table gives an empty table.
+Defined cases: NULL and empty texts have no findings; a corpus without findings trains on the made-up examples; long
+runs are reported whole; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ LENGTH = BEFORE + INSIDE + AFTER
 WIDTH, FILTERS, VECTOR = 4, 16, 6
 LABELLED = 1500
 SAMPLE_DOCS = 20_000
+STEP = 10  # characters between windows of a long run
+HELD_OUT = 900  # made-up examples of each label that only calibrate
 RECALL = 0.97
 RELIABLE = 0.8  # other candidates that the first network scores higher are not taught as harmless
 EPOCHS, RATE, BATCH = 12, 0.05, 64
@@ -110,6 +113,40 @@ def candidate_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     return starts[keep], ends[keep], rows[keep]
 
 
+_BREAK = _table(b"/.=+")
+
+
+def run_windows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and run of the windows that cover each run: every ``STEP`` characters, and after each sign that joins."""
+    first, which = [starts], [np.arange(len(starts))]
+    for k in np.flatnonzero(ends - starts > INSIDE).tolist():
+        a, b = int(starts[k]), int(ends[k])
+        joined = np.flatnonzero(_BREAK[data[a : b - 10]] & ~_BREAK[data[a + 1 : b - 9]]) + a + 1
+        more = np.unique(np.concatenate([np.arange(a + STEP, b - INSIDE, STEP), [b - INSIDE], joined]))
+        first.append(more)
+        which.append(np.full(len(more), k))
+    at, run = np.concatenate(first), np.concatenate(which)
+    return at, np.minimum(at + INSIDE, ends[run]), run
+
+
+def run_scores(net: Network, data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The highest score of the windows of each run."""
+    at, to, run = run_windows(data, starts, ends)
+    out = np.zeros(len(starts))
+    for i in range(0, len(at), 16 * CHUNK):
+        part = slice(i, i + 16 * CHUNK)
+        np.maximum.at(out, run[part], net.scores(char_windows(data, offsets, at[part], to[part], rows[run[part]])))
+    return out
+
+
+def without(data: np.ndarray, found: list[tuple]) -> np.ndarray:
+    """The bytes with base findings blanked, so that what they leave of a run stands alone."""
+    data = data.copy()
+    for _, start, _, end in found:
+        data[start:end] = 0
+    return data
+
+
 def char_windows(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Class windows of candidates: what is before, the first of its own characters, what is behind."""
     own = starts[:, None] + np.arange(-BEFORE, INSIDE)[None, :]
@@ -131,6 +168,8 @@ class Network:
     bias: float
     scale: tuple[float, float] = (1.0, 0.0)
     threshold: float = 0.5
+    recall: float = 0.0  # of the held-out keys that give the threshold
+    false_positives: float = 0.0  # share of the held-out other candidates that reach it
 
     @classmethod
     def fresh(cls) -> Network:
@@ -188,9 +227,9 @@ class Network:
         self.vectors -= rate * to_class
 
 
-def made_up() -> list[tuple[bytes, int, int, int]]:
+def made_up(seed: int = SEED, each: int = 360) -> list[tuple[bytes, int, int, int]]:
     """``(text, start, end, label)``: keys in the forms that issuers use, and long runs that are none."""
-    rng = np.random.default_rng(SEED)
+    rng = np.random.default_rng(seed)
     pick = lambda letters, n: bytes(rng.choice(np.frombuffer(letters, np.uint8), n).tolist())
     lower, digits = b"abcdefghijklmnopqrstuvwxyz", b"0123456789"
     alnum = lower + lower.upper() + digits
@@ -206,18 +245,18 @@ def made_up() -> list[tuple[bytes, int, int, int]]:
         lambda: b"version-1.2." + pick(digits, 3), lambda: word() + b"." + pick(digits, 2) + b"-" + word() + b".txt", lambda: word() + b"_" + word() + b"_" + pick(digits, 4),
         lambda: b"===========1" + pick(digits, 1), lambda: pick(digits, 3) + b"-" + pick(digits, 3) + b"-" + pick(digits, 4) + b"x",
     ]
-    lead = [b"key: ", b"secret ", b"the ", b"auth=", b"", b"is '", b"use ", b"Bearer "]
+    lead = [b"key: ", b"secret ", b"the ", b"auth=", b"", b"is '", b"use ", b"Bearer ", b"at build/v2/", b"a.conf="]
     out = []
     for label, makers in ((1, keys), (0, others)):
-        for k in range(360):
-            before = lead[int(rng.integers(len(lead)))] if label else word() + b" "
+        for k in range(each):
+            before = lead[int(rng.integers(len(lead)))] if label else word() + (b" ", b" ", b"/" + word() + b"/")[int(rng.integers(3))]
             core = makers[k % len(makers)]()
             out.append((before + core + b" and", len(before), len(before) + len(core), label))
     return out
 
 
-def train(windows: np.ndarray, labels: np.ndarray, test: np.ndarray) -> Network:
-    """A network fitted on ``~test`` rows, calibrated and given its threshold on ``test`` rows."""
+def train(windows: np.ndarray, labels: np.ndarray, test: np.ndarray, unknown: np.ndarray) -> Network:
+    """A network fitted on ``~test`` rows and calibrated on ``test`` rows, of which the ``unknown`` give its threshold."""
     net, rng = Network.fresh(), np.random.default_rng(SEED)
     fit = np.flatnonzero(~test)
     share = labels[fit].mean()
@@ -233,9 +272,11 @@ def train(windows: np.ndarray, labels: np.ndarray, test: np.ndarray) -> Network:
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
         a, b = a - 0.05 * float(((p - y) * z).mean()), b - 0.05 * float((p - y).mean())
     net.scale = (a, b)
-    right = np.sort(net.scores(windows[test][y == 1]))
-    # The highest threshold with the recall asked for; never below even odds.
-    net.threshold = max(0.5, float(right[int((1 - RECALL) * len(right))])) if len(right) else 0.5
+    score = net.scores(windows[test])
+    right = np.sort(score[unknown[test]])
+    # The highest threshold with the recall asked for.
+    net.threshold = float(right[int((1 - RECALL) * len(right))])
+    net.recall, net.false_positives = float((right >= net.threshold).mean()), float((score[y == 0] >= net.threshold).mean())
     return net
 
 
@@ -252,11 +293,15 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts, ends, rows = candidate_runs(data, offsets)
         if not len(starts):
             continue
-        label = _touch(base_findings(data, offsets), starts, ends)
-        windows = char_windows(data, offsets, starts, ends, rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w.tobytes() for w in windows], pa.binary()), pa.array(label.astype(np.int32))], names=["window", "label"]
-        )
+        found = base_findings(data, offsets)
+        at, to, run = run_windows(data, starts, ends)
+        for i in range(0, len(at), 16 * CHUNK):
+            part = slice(i, i + 16 * CHUNK)
+            label = _touch(found, at[part], to[part])
+            windows = char_windows(data, offsets, at[part], to[part], rows[run[part]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w.tobytes() for w in windows], pa.binary()), pa.array(label.astype(np.int32))], names=["window", "label"]
+            )
 
 
 def fitted(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, labelled: int = LABELLED) -> Network:
@@ -269,19 +314,24 @@ def fitted(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, labelled: int = LABE
     # At most 2 * labelled rows of 72 bytes.
     part = found.where("label = 1").orderBy(order, "window").limit(labelled).unionByName(found.where("label = 0").orderBy(order, "window").limit(labelled))
     rows = sorted((bytes(r["window"]), r["label"]) for r in part.collect())
-    more = []
-    for text, start, end, label in made_up():
-        data = np.frombuffer(text, np.uint8)
-        w = char_windows(data, np.array([0, len(data)]), np.array([start]), np.array([end]), np.array([0]))
+    more, free = [], []
+    for text, start, end, label in [*made_up(), *made_up(SEED + 1, HELD_OUT)]:
+        data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        at, to = np.array([start]), np.array([end])
+        w = char_windows(data, offsets, at, to, np.array([0]))
         more.append((w[0].tobytes(), label))
+        free.append(label == 1 and not _touch(base_findings(data, offsets), at, to)[0])
+    n = len(rows)
     rows += more
     windows = np.stack([np.frombuffer(w, np.uint8) for w, _ in rows])
     labels = np.array([y for _, y in rows])
     test = np.array([hashlib.sha1(w).digest()[0] % 5 == 0 for w, _ in rows])
-    known = (labels == 1) | (np.arange(len(rows)) >= len(rows) - len(more))
-    first = train(windows[known], labels[known], test[known])
+    test[len(rows) - 2 * HELD_OUT :] = True
+    unknown = np.concatenate([np.zeros(n, bool), free]) & test
+    known = (labels == 1) | (np.arange(len(rows)) >= n)
+    first = train(windows[known], labels[known], test[known], unknown[known])
     keep = known | (first.scores(windows) < RELIABLE)
-    return train(windows[keep], labels[keep], test[keep])
+    return train(windows[keep], labels[keep], test[keep], unknown[keep])
 
 
 def _scan(net: Network):
@@ -290,10 +340,8 @@ def _scan(net: Network):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches):
             base = base_findings(data, offsets)
-            starts, ends, rows = candidate_runs(data, offsets)
-            free = ~_touch(base, starts, ends)
-            starts, ends, rows = starts[free], ends[free], rows[free]
-            taken = net.scores(char_windows(data, offsets, starts, ends, rows)) >= net.threshold if len(starts) else np.zeros(0, bool)
+            starts, ends, rows = candidate_runs(without(data, base) if base else data, offsets)
+            taken = run_scores(net, data, offsets, starts, ends, rows) >= net.threshold
             added = [(int(r), int(s), 3, int(e)) for s, e, r in zip(starts[taken], ends[taken], rows[taken])]
             counts, own, all_ = np.zeros((len(batch), 4), np.int64), [[] for _ in range(len(batch))], [[] for _ in range(len(batch))]
             if base or added:

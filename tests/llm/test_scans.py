@@ -16,7 +16,7 @@ from llm.decontaminate import clean, op4, proximity_matches
 from llm.mixing import mixed, op7, source_targets
 from llm.pii import op3, redacted
 from llm.quality import Band, accepted, op9
-from llm.secret_scan import op6
+from llm.secret_scan import RECALL, fitted, op6, scan_secrets
 from llm.warc import MAGIC, op2, read_warc, write_warc
 from tests.llm.corpus import SCHEMA, corpus, plain_words, spaced, text
 
@@ -179,6 +179,19 @@ def test_network_finds_keys_it_has_no_pattern_for(spark):
     assert sum(got[k] > 0 for k in range(20)) >= 18 and sum(got[k] for k in range(20, 40)) == 0
 
 
+def test_keys_late_in_a_run_or_beside_a_finding(spark):
+    rng = random.Random(10)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    path = "artifacts/internal/build/config/prod/stable/v2/"
+    texts = [f"see {path}ghp_{noisy(rng, alnum, 36)} here" for _ in range(20)]
+    texts += [f"see {noisy(rng, '0123456789abcdef', 24)}/ghp_{noisy(rng, alnum, 36)} here" for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    net = fitted(df)
+    got = {r.doc_id: r for r in scan_secrets(df, net).collect()}
+    assert sum(got[k].n_model > 0 for k in range(20)) >= 18 and sum(got[k].n_model > 0 for k in range(20, 40)) >= 18
+    assert all(got[k].n_hex == 1 for k in range(20, 40)) and net.recall >= RECALL and net.false_positives < 0.1
+
+
 # Decontamination
 
 
