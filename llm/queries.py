@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from llm.chat import ORACLE as CHAT_SQL
+from llm.chat import op11
 from llm.common import read
 from llm.decontaminate import ORACLE as PHRASE_SQL
 from llm.decontaminate import op4
 from llm.lines import op8
+from llm.middle import ORACLE as MIDDLE_SQL
+from llm.middle import op13
 from llm.mixing import op7
 from llm.ngram_join import op5
 from llm.pii import op3
@@ -33,5 +37,13 @@ QUERIES = {
     "op8_fuzzy_lines": _over(op8),
     "op9_quality_fertility": _over(op9),
     "op10_block_anchors": _over(op10),
+    "op11_chat_round_trip": _over(op11, "conversations"),
+    "op13_fill_in_middle": _over(op13),
+}
+ORACLES: dict[str, str] = {
+    "op2_warc_chain": WARC_SQL,
+    "op4_positional_index": PHRASE_SQL,
+    "op10_block_anchors": SUBSTRING_SQL,
+    "op11_chat_round_trip": CHAT_SQL,
+    "op13_fill_in_middle": MIDDLE_SQL,
 }
-ORACLES: dict[str, str] = {"op2_warc_chain": WARC_SQL, "op4_positional_index": PHRASE_SQL, "op10_block_anchors": SUBSTRING_SQL}
