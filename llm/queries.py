@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from llm.centroids import ORACLE as CENTROID_SQL
+from llm.centroids import op12
 from llm.chat import ORACLE as CHAT_SQL
 from llm.chat import op11
 from llm.common import read
@@ -38,6 +40,7 @@ QUERIES = {
     "op9_quality_fertility": _over(op9),
     "op10_block_anchors": _over(op10),
     "op11_chat_round_trip": _over(op11, "conversations"),
+    "op12_sharded_lloyd": _over(op12, "embeddings"),
     "op13_fill_in_middle": _over(op13),
 }
 ORACLES: dict[str, str] = {
@@ -45,5 +48,6 @@ ORACLES: dict[str, str] = {
     "op4_positional_index": PHRASE_SQL,
     "op10_block_anchors": SUBSTRING_SQL,
     "op11_chat_round_trip": CHAT_SQL,
+    "op12_sharded_lloyd": CENTROID_SQL,
     "op13_fill_in_middle": MIDDLE_SQL,
 }
