@@ -324,7 +324,7 @@ def inline_channels(m):
 # -- versions ----------------------------------------------------------------
 
 
-def _versions(m):
+def customer_versions(m):
     """Customers at two moments: a version table and what the source holds three years later."""
     base = m["customer"].select(
         F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segmento"), F.col("c_nationkey").alias("pais")
@@ -354,7 +354,7 @@ VERSIONS_SQL = f"""
 
 @query("scd2_apply", "id:l segmento:s pais:l valid_from:s valid_to:s fl_current:b hash_row:s", VERSIONS_SQL)
 def scd2_next_state(m):
-    return _versions(m)
+    return customer_versions(m)
 
 
 @query(
@@ -366,7 +366,7 @@ def scd2_next_state(m):
 def scd2_lookup(m):
     """The customer version valid on the day of each order."""
     orders = m["orders"].select("o_orderkey", F.col("o_custkey").alias("id"), F.to_date("o_orderdate").alias("dia"))
-    return scd2_as_of(orders, _versions(m), "id", "dia")
+    return scd2_as_of(orders, customer_versions(m), "id", "dia")
 
 
 # -- joins -------------------------------------------------------------------

@@ -106,6 +106,36 @@ def having_any(df: DataFrame, key: str, *conditions: Column) -> DataFrame:
     return out.select(key)
 
 
+# Days are numbered from the first of the year 1; 22 levels of halving hold all days to the end of the year 9999.
+FIRST_DAY = "0001-01-01"
+LEVELS = 22
+
+
+def _day_number(day: str) -> Column:
+    return F.datediff(F.col(day), F.lit(FIRST_DAY).cast("date"))
+
+
+def _node(level: int, index: Column) -> Column:
+    """Number of a block of ``2 ** level`` days."""
+    return F.lit(level << (LEVELS + 1)) + index
+
+
+def tiles(lo: str, hi: str) -> Column:
+    """The dyadic blocks of days that together make up ``[lo, hi]``: at most two per level, however long the range."""
+    first, end = F.greatest(_day_number(lo), F.lit(0)), F.least(_day_number(hi) + 1, F.lit(1 << LEVELS))
+    blocks = []
+    for k in range(LEVELS + 1):
+        left, right = F.shiftright(first + ((1 << k) - 1), k), F.shiftright(end, k)
+        blocks.append(F.when((left < right) & (left % 2 == 1), _node(k, left)))
+        blocks.append(F.when((left < right) & (right % 2 == 1), _node(k, right - 1)))
+    return F.array_compact(F.array(*blocks))
+
+
+def blocks_of(day: str) -> Column:
+    """The block of each level that holds a day."""
+    return F.array(*[_node(k, F.shiftright(_day_number(day), k)) for k in range(LEVELS + 1)])
+
+
 def interval_join(
     points: DataFrame,
     ranges: DataFrame,
@@ -118,9 +148,12 @@ def interval_join(
     """Pair each row with the closed ranges ``[lo, hi]`` its date falls in.
 
     With ``keys`` the ranges are versions of one entity: an equi-join on the
-    keys with the range as a residual condition.  Without keys each range is
-    unrolled to its days and joined on the day, so there is no nested-loop join
-    and the dates, not the pairs, are shuffled.
+    keys with the range as a residual condition.  Without keys a range becomes
+    the few dyadic blocks it is made of, each day that occurs among the points
+    asks for its block of each level, and the rows then meet the ranges of their
+    day.  There is no nested-loop join, an open end costs no more than a short
+    range, and a day and a range are only paired if a row has that day.  Ranges
+    without a start or end, or that end before they start, hold no day.
     """
     if keys:
         right = ranges.select(
@@ -130,5 +163,8 @@ def interval_join(
         for k in keys:
             condition = condition & (F.col(k) == F.col(f"__{k}"))
         return points.join(right, condition, how).drop(*[f"__{k}" for k in keys])
-    days = ranges.filter(F.col(hi) >= F.col(lo)).withColumn("__day", F.explode(F.sequence(lo, hi)))
-    return points.join(days, F.col(point) == F.col("__day"), how).drop("__day")
+    days = points.select(F.col(point).alias("__day")).distinct()
+    asked = days.withColumn("__block", F.explode(blocks_of("__day")))
+    tiled = ranges.filter(F.col(hi) >= F.col(lo)).withColumn("__block", F.explode(tiles(lo, hi)))
+    in_force = asked.join(tiled, "__block").drop("__block")
+    return points.join(in_force, F.col(point) == F.col("__day"), how).drop("__day")

@@ -1,8 +1,10 @@
 """Orderings over a whole table without putting the table into one task.
 
 A window without ``partitionBy`` sorts everything in a single task.  Instead the
-sort order is cut into cells; cells are ranked through their totals (a few
-hundred rows at most), rows only inside their cell.
+table is range partitioned once by its order, every part is summed on its own,
+and the last row of a part tells the other parts what it came to.  A part adds
+what the parts before it told: a prefix scan over parts, inside one plan that
+reads its input once and starts no job of its own.
 """
 
 from __future__ import annotations
@@ -14,91 +16,103 @@ from pyspark.sql import functions as F
 
 from emporio.functions.numeric import safe_divide
 
-CELLS = 128
+# Every part tells every other one, so messages grow with the square of the parts: a million at this many.
+MOST_PARTS = 1000
 
 
-def _cut_points(df: DataFrame, columns: Sequence[str], cells: int) -> list[list]:
-    """Distinct quantiles of numeric columns: one row of at most ``cells`` values per column on the driver."""
-    steps = [i / cells for i in range(1, cells)]
-    row = df.agg(*[F.percentile_approx(c, steps, 10 * cells).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    return [sorted(set(cuts or [])) for cuts in row]
+def _parts(df: DataFrame, parts: int | None) -> int:
+    return parts or min(MOST_PARTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _cell(column: str, cuts: list) -> Column:
-    """Position of a value among the cuts: even between two cuts, odd exactly on one; NULL is below all.
+def _ranged(df: DataFrame, ordering: Sequence[Column], parts: int) -> DataFrame:
+    return df.repartitionByRange(parts, *ordering).withColumn("__part", F.spark_partition_id())
 
-    A value that fills a large share of the rows is a cut, so it gets a cell of
-    its own which can then be divided further by another column.  The cuts are
-    searched by halves, in generated code.
-    """
-    value = F.col(column)
 
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(2 * lo)
-        mid = (lo + hi) // 2
-        cut = F.lit(cuts[mid])
-        return F.when(value < cut, search(lo, mid)).when(value > cut, search(mid + 1, hi)).otherwise(2 * mid + 1)
+def _told(summed: DataFrame, columns: Sequence[str], last: Column, message: Column, parts: int) -> DataFrame:
+    """The rows, and the ``__told`` of each part's last row once more for every part: ``__at`` is where a row is needed.
 
-    return F.when(value.isNull(), F.lit(-1)).otherwise(search(0, len(cuts)))
+    Rows have their ``columns`` in ``__row`` and no ``__told``; messages the other way round.
+    """
+    to = F.when(last, F.sequence(F.lit(-1), F.lit(parts - 1))).otherwise(F.array(F.lit(-1)))
+    own = F.col("__to") == -1
+    return summed.withColumn("__to", F.explode(to)).select(
+        F.when(own, F.struct(*columns)).alias("__row"),
+        F.when(~own, message).alias("__told"),
+        "__part",
+        F.when(own, F.col("__part")).otherwise(F.col("__to")).alias("__at"),
+    )
 
 
-def running_totals(
-    df: DataFrame, order: str, tiebreak: str, totals: dict[str, Column], cells: int | None = None
-) -> DataFrame:
+def _scanned(df: DataFrame, order: str, tiebreak: str, totals: dict[str, Column], parts: int | None) -> DataFrame:
+    """``__row``, and for each name its running sum and the sum over everything as ``__all_<name>``."""
+    parts = _parts(df, parts)
+    ordering = [F.desc_nulls_last(order), F.asc(tiebreak)]
+    line = Window.partitionBy("__part").orderBy(*ordering)
+    so_far = line.rowsBetween(Window.unboundedPreceding, 0)
+    inside = [F.sum(e).over(so_far).alias(f"__in_{n}") for n, e in totals.items()]
+    summed = _ranged(df, ordering, parts).select("*", *inside, F.lead("__part").over(line).isNull().alias("__last"))
+    sums = [f"__in_{n}" for n in totals]
+    told = _told(summed, [*df.columns, *sums], F.col("__last"), F.struct(*sums), parts)
+    here = Window.partitionBy("__at")
+    earlier = F.col("__part") < F.col("__at")
+    gathered = [F.sum(F.when(earlier, F.col(f"__told.__in_{n}"))).over(here).alias(f"__before_{n}") for n in totals]
+    everything = [F.sum(F.col(f"__told.__in_{n}")).over(here).alias(f"__all_{n}") for n in totals]
+    rows = told.select("__row", *gathered, *everything).filter("__row IS NOT NULL")
+
+    def running(n: str) -> Column:
+        own, before = F.col(f"__row.__in_{n}"), F.col(f"__before_{n}")
+        return F.coalesce(own + before, own, before).alias(n)
+
+    return rows.select("__row", *[running(n) for n in totals], *[f"__all_{n}" for n in totals])
+
+
+def running_totals(df: DataFrame, order: str, tiebreak: str, totals: dict[str, Column], parts: int | None = None) -> DataFrame:
     """Inclusive running sums by ``order`` descending with NULL last, then ``tiebreak`` ascending.
 
-    ``order`` and ``tiebreak`` are numeric, ``tiebreak`` unique; ``totals`` maps
-    output names to the summed expressions.  Rows whose value is one of the cuts,
-    or NULL, are divided further by ``tiebreak``.  Sums of decimals and integers
-    are exact; sums of doubles may differ from a sequential sum in the last
-    digits, as additions are grouped by cell.
+    ``tiebreak`` is unique, so a value that many rows share is spread over parts; ``totals`` maps output names to the
+    summed expressions.  Sums of decimals and integers are exact; sums of doubles may differ from a sequential sum in
+    the last digits, as additions are grouped by part.
     """
-    cells = cells or max(CELLS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    cuts, tie_cuts = _cut_points(df, [order, tiebreak], cells)
-    celled = df.withColumn("__cell", _cell(order, cuts)).withColumn(
-        "__sub", F.when(F.col("__cell") % 2 != 0, _cell(tiebreak, tie_cuts)).otherwise(0)
-    )
-    sums = [F.sum(e).alias(f"__before_{name}") for name, e in totals.items()]
-    before = Window.orderBy(F.desc("__cell"), F.asc("__sub")).rowsBetween(Window.unboundedPreceding, -1)
-    # At most (2 * cells + 1) ** 2 rows, whatever the size of the table.
-    offsets = celled.groupBy("__cell", "__sub").agg(*sums).select(
-        F.col("__cell").alias("__at_cell"),
-        F.col("__sub").alias("__at_sub"),
-        *[F.sum(f"__before_{n}").over(before).alias(f"__before_{n}") for n in totals],
-    )
-    ordering = [F.desc_nulls_last(order), F.asc(tiebreak)]
-    inside = Window.partitionBy("__cell", "__sub").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
-    joined = celled.select("*", *[F.sum(e).over(inside).alias(f"__in_{n}") for n, e in totals.items()]).join(
-        F.broadcast(offsets), (F.col("__cell") == F.col("__at_cell")) & (F.col("__sub") == F.col("__at_sub"))
-    )
-
-    def total(n: str) -> Column:
-        here, earlier = F.col(f"__in_{n}"), F.col(f"__before_{n}")
-        return F.coalesce(here + earlier, here, earlier).alias(n)
-
-    return joined.select(*df.columns, *[total(n) for n in totals])
+    rows = _scanned(df, order, tiebreak, totals, parts)
+    return rows.select(*[F.col(f"__row.{c}").alias(c) for c in df.columns], *totals)
 
 
-def cumulative_share(df: DataFrame, value: str, tiebreak: str, out: str = "cum_share", **options) -> DataFrame:
+def cumulative_share(df: DataFrame, value: str, tiebreak: str, out: str = "cum_share", parts: int | None = None) -> DataFrame:
     """Share of the total reached when adding rows from the largest ``value`` down (W9); rows without a value come last."""
-    total = df.agg(F.sum(value).alias("__total"))
-    ranked = running_totals(df, value, tiebreak, {"__running": F.col(value)}, **options)
-    return ranked.withColumn(out, safe_divide(F.col("__running"), total.scalar())).drop("__running")
+    rows = _scanned(df, value, tiebreak, {"__running": F.col(value)}, parts)
+    share = safe_divide(F.col("__running"), F.col("__all___running"))
+    return rows.select(*[F.col(f"__row.{c}").alias(c) for c in df.columns], share.alias(out))
 
 
-def dense_rank_by(df: DataFrame, value: str, out: str = "rank", **options) -> DataFrame:
+def dense_rank_by(df: DataFrame, value: str, out: str = "rank", parts: int | None = None) -> DataFrame:
     """Dense rank from the largest ``value`` down (W5); rows without a value rank last.
 
-    Ranks the distinct values, then joins them back, so ties need no common task.
+    Rows of one value may lie in several parts, so that a common value is no task of its own.  A part tells how many
+    values it has and its first and last one: a value that goes on in the next part is counted there no second time.
     """
-    present = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("__value")).distinct()
-    distinct = present.withColumn("__tie", F.lit(0))
-    ranks = running_totals(distinct, "__value", "__tie", {out: F.lit(1)}, **options).select("__value", out)
-    last = present.agg((F.count(F.lit(1)) + 1).alias("last"))
-    return df.join(ranks, F.col(value) == F.col("__value"), "left").select(
-        *df.columns, F.coalesce(F.col(out), last.scalar()).cast("int").alias(out)
+    parts = _parts(df, parts)
+    ordering = [F.desc_nulls_last(value), F.xxhash64(*df.columns)]
+    line = Window.partitionBy("__part").orderBy(F.desc_nulls_last(value))
+    # Among equal values any row may be the last: their rank and value are the same.
+    nth = F.row_number().over(line)
+    summed = _ranged(df, ordering, parts).select(
+        "*", F.dense_rank().over(line).alias("__in"), F.first(value).over(line).alias("__first"), nth.alias("__nth"),
+        F.count(F.lit(1)).over(Window.partitionBy("__part")).alias("__rows"),
     )
+    message = F.struct(F.col("__in").alias("n"), F.col("__first").alias("first"), F.col(value).alias("last"))
+    told = _told(summed, [*df.columns, "__in"], F.col("__nth") == F.col("__rows"), message, parts)
+    # Messages come before rows, in the order of the parts they are from.
+    queue = Window.partitionBy("__at").orderBy(F.col("__row").isNotNull(), "__part")
+    previous = F.lag("__told").over(queue)
+    goes_on = previous.isNotNull() & previous["last"].eqNullSafe(F.col("__told.first"))
+    earlier, until = F.col("__part") < F.col("__at"), F.col("__part") <= F.col("__at")
+    marked = told.withColumn("__goes_on", F.when(F.col("__told").isNotNull() & goes_on, 1).otherwise(0))
+    here = Window.partitionBy("__at")
+    before = F.coalesce(F.sum(F.when(earlier, F.col("__told.n"))).over(here), F.lit(0))
+    twice = F.sum(F.when(until, F.col("__goes_on"))).over(here)
+    rows = marked.select("__row", (before - twice).alias("__before")).filter("__row IS NOT NULL")
+    rank = (F.col("__row.__in") + F.col("__before")).cast("int")
+    return rows.select(*[F.col(f"__row.{c}").alias(c) for c in df.columns], rank.alias(out))
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -16,6 +16,8 @@ from emporio.functions.keys import ANONYMOUS, NO_CAMPAIGN, UNKNOWN, UNKNOWN_DATE
 from emporio.functions.numeric import ratio, round_ratio, safe_divide
 from emporio.operators.dedup import first_per_key, latest_per_key
 from emporio.operators.joins import Lookup, join_aggregate, left_join_sparse, star_lookup
+from emporio.plans.aggregates import Sums
+from emporio.sinks.tables import month_partition
 
 Frames = Mapping[str, DataFrame]
 
@@ -289,17 +291,25 @@ def build_sessions(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
     )
 
 
-def realised_sales(dfs: Frames) -> DataFrame:
+def sales_by_month() -> Sums:
     """Valid sales per store, channel, year and month."""
-    stores = dfs["dim_loja"].select("sk_loja", F.col("id_loja_nk").alias("id_loja"))
     day = F.col("dt_pedido_data")
-    sales = dfs["fato_venda"].filter("fl_venda_valida").groupBy(
-        "sk_loja", "canal_venda", F.year(day).alias("ano"), F.month(day).alias("mes")
-    ).agg(
-        F.sum("valor_liquido_item").alias("receita_realizada"),
-        F.sum("margem_bruta_item").alias("margem_realizada"),
-        F.count_distinct("id_pedido_dg").alias("qtd_pedidos_realizados"),
+    return Sums(
+        "agg_venda_mes",
+        "fato_venda",
+        {"sk_loja": F.col("sk_loja"), "canal_venda": F.col("canal_venda"), "ano": F.year(day), "mes": F.month(day)},
+        {"receita_realizada": F.col("valor_liquido_item"), "margem_realizada": F.col("margem_bruta_item")},
+        month_partition(day),
+        F.col("fl_venda_valida"),
+        {"qtd_pedidos_realizados": F.col("id_pedido_dg")},
     )
+
+
+def realised_sales(dfs: Frames) -> DataFrame:
+    """Valid sales per store, channel, year and month, from the kept sums if there are any."""
+    spec = sales_by_month()
+    stores = dfs["dim_loja"].select("sk_loja", F.col("id_loja_nk").alias("id_loja"))
+    sales = dfs[spec.name] if spec.name in dfs else spec.groups(dfs[spec.fact])
     # One store row per surrogate key, so the aggregate can be joined after grouping.
     return sales.join(stores.dropDuplicates(["sk_loja"]), "sk_loja").drop("sk_loja")
 

@@ -15,7 +15,9 @@ from emporio.operators.incremental import high_water, last_days
 from emporio.operators.scd2 import scd2_apply
 from emporio.plans import dimensions as dims
 from emporio.plans import facts, silver
+from emporio.plans.aggregates import MaintainedSums
 from emporio.plans.staging import refresh_staging
+from emporio.plans.versions import VersionLink, VersionLinks
 from emporio.registry import TABLES, TABLES_BY_NAME, TableEntry
 from emporio.sinks.export import run_all
 from emporio.sinks.tables import Warehouse, month_partition
@@ -111,6 +113,16 @@ DIMENSIONS: dict[str, Callable[[dict[str, DataFrame], WarehouseConfig], DataFram
 }
 
 
+# Version keys of each sale, kept beside the fact where dimensions keep their versions.
+SALES_VERSIONS = "fato_venda_versoes"
+SALES_LINKS = [
+    VersionLink("dim_cliente", "sk_cliente", "sk_cliente", "sk_cliente_versao"),
+    VersionLink("dim_produto", "sk_produto", "sk_produto", "sk_produto_versao"),
+    VersionLink("dim_loja", "sk_loja", "sk_loja", "sk_loja_versao"),
+    VersionLink("dim_campanha", "sk_campanha", "sk_campanha", "sk_campanha_versao", facts.NO_CAMPAIGN),
+]
+
+
 def restrict(
     dfs: dict[str, DataFrame], model: Incremental, marks: dict[str, datetime], stored: DataFrame | None = None
 ) -> dict[str, DataFrame]:
@@ -206,8 +218,12 @@ class Transform:
             {n: (lambda n=n, b=b: self._store_dimension(n, b(self.frames, cfg))) for n, b in DIMENSIONS.items()}
         )
         self._together({n: partial(self._refresh, n) for n in INCREMENTAL if n.startswith("fato_")})
-        # Budgets compare with all sales of their month, so a new sale changes old rows: rebuilt whole.
-        self._store("fato_orcamento", facts.build_budget(self.frames, cfg))
+        # Budgets compare with all sales of their month: the sums of a month follow the changed sales, the few budgets are rebuilt.
+        sums = MaintainedSums(self.warehouse, facts.sales_by_month())
+        kept = {sums.spec.name: sums.refresh(cfg.full_refresh)}
+        self._store("fato_orcamento", facts.build_budget({**self.frames, **kept}, cfg))
+        if cfg.keep_versions:
+            self.frames[SALES_VERSIONS] = VersionLinks(self.warehouse, SALES_VERSIONS, "sk_venda", "dt_pedido_data", SALES_LINKS).follow("fato_venda")
         return self.frames
 
     def _together(self, tasks: dict[str, Callable[[], object]]) -> None:
@@ -258,4 +274,5 @@ class Transform:
             partition=month_partition(day),
             full_refresh=self.cfg.full_refresh or not marks,
             marks=newest_ingestion({n: frames[n] for n in (model.driver, *model.inputs)}),
+            images=name == "fato_venda",
         )

@@ -8,6 +8,9 @@ partitions instead and replace only those a batch touches: their new content is
 written beside the table and swapped in partition by partition, so a reader may
 meet some partitions before and some after such a batch.  Snapshots before the
 last few, and what was written beside the table, are deleted after each commit.
+
+A batch may also leave the images of the rows it changed, before and after, for
+tables that are kept up to date from this one.
 """
 
 from __future__ import annotations
@@ -24,8 +27,9 @@ from emporio.operators.incremental import between
 from emporio.operators.upsert import align, upsert
 from emporio.sources.bronze import path_exists
 
-LOG_SCHEMA = "snapshot long, query_id string, batch_id long, marks map<string,timestamp>, schema string, committed_at timestamp"
+LOG_SCHEMA = "snapshot long, query_id string, batch_id long, marks map<string,timestamp>, schema string, committed_at timestamp, images boolean"
 KEPT_SNAPSHOTS = 3
+KEPT_IMAGES = 10
 PARTITION = "particao"
 
 
@@ -43,6 +47,15 @@ def _by_partition(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", F.col(PARTITION))
 
 
+def micros(at: datetime) -> int:
+    since = at - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return (since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds
+
+
+def _time(micros: int) -> datetime:
+    return datetime.fromtimestamp(micros // 1_000_000, tz=timezone.utc).replace(microsecond=micros % 1_000_000)
+
+
 Marks = Mapping[str, datetime] | None
 # Id of a streaming query and number of its batch.
 StreamBatch = tuple[str, int] | None
@@ -81,10 +94,12 @@ class Warehouse:
         state = self._state(name)
         return (state["snapshot"] or 0) if state else 0
 
-    def _commit(self, name: str, snapshot: int, schema: T.StructType, batch: StreamBatch, marks: Marks) -> None:
+    def _commit(
+        self, name: str, snapshot: int, schema: T.StructType, batch: StreamBatch, marks: Marks, images_at: datetime | None = None
+    ) -> None:
         query_id, batch_id = batch or (None, None)
         all_marks = {**self.marks(name), **marks} if marks else None
-        row = [(snapshot, query_id, batch_id, all_marks, schema.json(), datetime.now(timezone.utc))]
+        row = [(snapshot, query_id, batch_id, all_marks, schema.json(), images_at or datetime.now(timezone.utc), images_at is not None)]
         (
             self.spark.createDataFrame(row, LOG_SCHEMA)
             .coalesce(1)
@@ -108,7 +123,37 @@ class Warehouse:
         """By input: the ingestion time up to which it is already in the table."""
         state = self._state(name)
         found = (state["marks"] if state else None) or {}
-        return {k: datetime.fromtimestamp(at / 1_000_000, tz=timezone.utc) for k, at in found.items()}
+        return {k: _time(at) for k, at in found.items()}
+
+    def last_commit(self, name: str) -> datetime | None:
+        """Time of the newest commit, for :meth:`images_since`."""
+        path = f"{self.root}/{name}/_commits"
+        if not path_exists(self.spark, path):
+            return None
+        newest = self.spark.read.schema(LOG_SCHEMA).parquet(path).agg(F.max(F.unix_micros("committed_at"))).first()[0]
+        return _time(newest)
+
+    def read_at(self, name: str, commit: datetime) -> DataFrame | None:
+        """The table as of one of its commits, while that snapshot is kept (a rebuilt table keeps the last few)."""
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/{name}/_commits")
+        row = log.filter(F.unix_micros("committed_at") == F.lit(micros(commit))).select("snapshot", "schema").first()
+        path = f"{self.root}/{name}/snapshot={row['snapshot']}" if row else None
+        if not path or not path_exists(self.spark, path):
+            return None
+        return self.spark.read.schema(T.StructType.fromJson(json.loads(row["schema"]))).parquet(path).drop(PARTITION)
+
+    def images_since(self, name: str, seen: datetime) -> list[tuple[datetime, DataFrame]] | None:
+        """Commits after ``seen`` with their images, oldest first; ``None`` if one of them kept none, as a rebuild.
+
+        Images have ``before`` and ``after``: a row as it was and as it is, NULL where it was or is not there.
+        """
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/{name}/_commits")
+        later = log.select(F.unix_micros("committed_at").alias("at"), "images").filter(F.col("at") > F.lit(micros(seen)))
+        found = sorted(later.collect())
+        paths = [(r["at"], f"{self.root}/{name}/_images/at={r['at']}") for r in found]
+        if not all(r["images"] for r in found) or not all(path_exists(self.spark, p) for _, p in paths):
+            return None
+        return [(_time(at), self.spark.read.parquet(p)) for at, p in paths]
 
     # -- reading -------------------------------------------------------------
 
@@ -134,6 +179,14 @@ class Warehouse:
         months = F.col(PARTITION).between(start.year * 100 + start.month, end.year * 100 + end.month)
         return between(self._stored(name).filter(months), date_col, start, end).drop(PARTITION)
 
+    def read_from(self, name: str, date_col: str, start: date) -> DataFrame:
+        """``date_col >= start`` of a month-partitioned table."""
+        months = F.col(PARTITION) >= start.year * 100 + start.month
+        return self._stored(name).filter(months & (F.col(date_col) >= F.lit(start))).drop(PARTITION)
+
+    def read_partitions(self, name: str, values: Sequence[int]) -> DataFrame:
+        return self._stored(name).filter(F.col(PARTITION).isin(*values)).drop(PARTITION)
+
     # -- writing -------------------------------------------------------------
 
     def overwrite(
@@ -166,20 +219,22 @@ class Warehouse:
         full_refresh: bool = False,
         stream_batch: StreamBatch = None,
         marks: Marks = None,
+        images: bool = False,
     ) -> DataFrame:
         """Replace rows by key (K5); the first run or a full refresh just writes (K7).
 
         Columns follow the batch: new ones appear, dropped ones go (K8).  With
-        ``partition`` only the partitions involved are rewritten.
+        ``partition`` only the partitions involved are rewritten, and ``images``
+        keeps what changed in them (for a batch with one row per key).
         """
         if full_refresh or not self.exists(name):
             return self.overwrite(batch, name, partition, stream_batch, marks)
         if partition is not None:
-            return self._upsert_partitions(batch, name, keys, partition, order_by, stream_batch, marks)
+            return self._upsert_partitions(batch, name, keys, partition, order_by, stream_batch, marks, images)
         merged = upsert(align(self.read(name), batch.schema), batch, keys, order_by)
         return self.overwrite(merged, name, stream_batch=stream_batch, marks=marks)
 
-    def _upsert_partitions(self, batch, name, keys, partition, order_by, stream_batch, marks) -> DataFrame:
+    def _upsert_partitions(self, batch, name, keys, partition, order_by, stream_batch, marks, images) -> DataFrame:
         """Rewrite the partitions of the batch and those now holding one of its keys.
 
         The second kind matters when a row's date changed: it must leave its old
@@ -197,8 +252,13 @@ class Warehouse:
         touched = batch.select(PARTITION).union(held.select(PARTITION)).distinct()
         # One value per partition directory: the driver keeps such a list for any partitioned table.
         values = {r[0] for r in touched.collect()}
+        at = datetime.now(timezone.utc) if images else None
+        if images and not values:
+            self._keep_images(batch, align(target.limit(0), batch.schema), name, keys, at)
         if values:
             current = align(target.filter(F.col(PARTITION).isin(*values)), batch.schema)
+            if images:
+                self._keep_images(batch, current, name, keys, at)
             merged = _by_partition(upsert(current, batch, keys, order_by))
             merged.write.partitionBy(PARTITION).parquet(f"{work}/merged")
             ready = self.spark.read.schema(batch.schema).parquet(f"{work}/merged")
@@ -212,10 +272,24 @@ class Warehouse:
             filled = {r[0] for r in ready.select(PARTITION).distinct().collect()}
             for value in values - filled:
                 self._delete(f"{path}/{PARTITION}={value}")
-        self._commit(name, snapshot, batch.schema, stream_batch, marks)
+        self._commit(name, snapshot, batch.schema, stream_batch, marks, at)
         self._delete(f"{self.root}/{name}/_staged")
         return self.read(name)
 
+    def _keep_images(self, batch: DataFrame, current: DataFrame, name: str, keys: Sequence[str], at: datetime) -> None:
+        """Rows of the batch that differ from what is stored, beside what is stored; before any partition is swapped."""
+        columns = [c for c in batch.columns if c != PARTITION]
+        key = F.struct(*keys).alias("__key")
+        old = current.select(key, F.struct(*columns).alias("before"))
+        new = batch.select(key, F.struct(*columns).alias("after"))
+        changed = new.join(old, "__key", "left").filter(~F.col("before").eqNullSafe(F.col("after"))).select("before", "after")
+        root = f"{self.root}/{name}/_images"
+        changed.write.parquet(f"{root}/at={micros(at)}")
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/{name}/_commits").filter("images")
+        kept = [r[0] for r in log.select(F.unix_micros("committed_at")).collect()]
+        for old_at in sorted(kept)[: -KEPT_IMAGES]:
+            self._delete(f"{root}/at={old_at}")
+
     def _delete(self, path: str) -> None:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import day
 from emporio.operators.dedup import latest_per_key
 from emporio.operators.incremental import between, high_water, last_days, newer_than
-from emporio.operators.joins import Lookup, having_any, interval_join, orphans, star_lookup
+from emporio.operators.joins import Lookup, having_any, interval_join, orphans, star_lookup, tiles
 from emporio.operators.periods import cohort, last_value, period_shifts, rolling_sums, trailing
 from emporio.operators.ranking import cumulative_share, dense_rank_by, running_totals, share_of_total, top_n_per_group
 from emporio.operators.scd2 import scd2_apply, scd2_as_of, scd2_columns
@@ -106,6 +106,25 @@ def test_interval_join_matches_brute_force(spark):
     assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_interval_join_with_open_ends_and_odd_ranges(spark):
+    """Blocks of days stay few for open ends; NULL, backward, one-day and first-day ranges; left join keeps all rows."""
+    rng = random.Random(3)
+    first, last = date(1, 1, 1), date(9999, 12, 31)
+    days = [first, date(1, 1, 2), date(1969, 12, 31), date(1970, 1, 1), date(2024, 2, 29), last, None]
+    days += [date(2020, 1, 1) + timedelta(days=rng.randrange(2000)) for _ in range(40)]
+    ranges = [(0, first, last), (1, last, last), (2, first, first), (3, None, last), (4, first, None), (5, date(2021, 1, 1), date(2020, 1, 1))]
+    ranges += [(k, lo := rng.choice(days[7:]), rng.choice([last, lo, lo + timedelta(days=rng.randrange(900))])) for k in range(6, 40)]
+    p = spark.createDataFrame(list(enumerate(days)), "p int, d date")
+    r = spark.createDataFrame(ranges, "r int, lo date, hi date")
+    expected = {(i, k) for i, d in enumerate(days) for k, lo, hi in ranges if None not in (d, lo, hi) and lo <= d <= hi}
+    rows = interval_join(p, r, "d", "lo", "hi").collect()
+    assert {(x["p"], x["r"]) for x in rows} == expected and len(rows) == len(expected)
+    left = interval_join(p, r, "d", "lo", "hi", how="left").collect()
+    assert {x["p"] for x in left} == set(range(len(days))) and len(left) == len(expected) + len(days) - len({i for i, _ in expected})
+    sizes = [len(x["t"]) for x in r.filter("hi >= lo").select(tiles("lo", "hi").alias("t")).collect()]
+    assert max(sizes) <= 2 * 22 and min(sizes) >= 1
+
+
 def test_period_shifts_keep_gaps(spark):
     rows = [("a", day("2024-01-01"), 1), ("a", day("2024-02-01"), 2), ("a", day("2024-04-01"), 4),
             (None, day("2024-02-01"), 9), (None, day("2024-03-01"), 8)]
@@ -142,25 +161,36 @@ def test_distributed_orderings_match_brute_force(spark, hot):
     for i, v in ordered:
         running += v
         expected[i] = running / total
-    got = {r["id"]: r["cum_share"] for r in cumulative_share(df, "v", "id", cells=6).collect()}
+    got = {r["id"]: r["cum_share"] for r in cumulative_share(df, "v", "id", parts=6).collect()}
     assert got == pytest.approx(expected)
     ranks = {v: k + 1 for k, v in enumerate(sorted({v for _, v in rows}, reverse=True))}
-    got = {r["id"]: r["rank"] for r in dense_rank_by(df, "v", cells=6).collect()}
+    got = {r["id"]: r["rank"] for r in dense_rank_by(df, "v", parts=6).collect()}
     assert got == {i: ranks[v] for i, v in rows}
 
 
 def test_distributed_ordering_has_no_single_task_over_the_rows(spark):
     df = spark.range(5000).select("id", (F.col("id") % 7).alias("v"))
-    plan = running_totals(df, "v", "id", {"s": F.col("v")}, cells=4)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    # The only SinglePartition exchange orders cell totals, which come out of an aggregate.
-    single = text[text.index("SinglePartition"):]
-    assert text.count("SinglePartition") == 1 and "HashAggregate" in single
+    for plan in (running_totals(df, "v", "id", {"s": F.col("v")}), cumulative_share(df, "v", "id"), dense_rank_by(df, "v")):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in text and text.count("Range (0, 5000") == 1  # one copy of the input
+
+
+@pytest.mark.parametrize("values", [[None] * 40, [3] * 40, [None, 1] * 30, list(range(50)), [], [7]])
+def test_orderings_whatever_the_ties(spark, values):
+    """Runs of equal values, NULL among them, that go on over several parts, and empty parts."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int").repartition(3)
+    known = sorted({v for v in values if v is not None}, reverse=True)
+    ranks = {v: k + 1 for k, v in enumerate(known)} | {None: len(known) + 1}
+    for parts in (1, 7):
+        assert {r["id"]: r["rank"] for r in dense_rank_by(df, "v", parts=parts).collect()} == {i: ranks[v] for i, v in enumerate(values)}
+        counted = running_totals(df, "v", "id", {"n": F.lit(1)}, parts=parts)
+        order = sorted(range(len(values)), key=lambda i: (values[i] is None, -(values[i] or 0), i))
+        assert {r["id"]: r["n"] for r in counted.collect()} == {i: k + 1 for k, i in enumerate(order)}
 
 
 def test_running_totals_keep_rows_without_a_value(spark):
     df = spark.createDataFrame([(1, 5), (2, None), (3, 7), (4, None), (5, 5)], "id int, v int")
-    got = {r["id"]: r["s"] for r in running_totals(df, "v", "id", {"s": F.col("v")}, cells=3).collect()}
+    got = {r["id"]: r["s"] for r in running_totals(df, "v", "id", {"s": F.col("v")}, parts=3).collect()}
     assert got == {3: 7, 1: 12, 5: 17, 2: 17, 4: 17}
 
 
