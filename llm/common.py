@@ -28,14 +28,13 @@ _ASCII_WORD[:0x30] = _ASCII_WORD[0x3A:0x61] = _ASCII_WORD[0x7B:0x80] = False
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; on a local master without it, a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="llm-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
@@ -68,6 +67,13 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("did"), row_key(text).alias("tkey"), text.alias("text"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``(doc, did, tkey)``: whole rows beside their names, so that no column of theirs clashes with a name used here."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    did = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), did.alias("did"), row_key(text).alias("tkey"))
+
+
 def given_id(did: Column) -> Column:
     return F.when(did != LAST_ID, did)
 

@@ -9,9 +9,11 @@ matches.  ``proximity_matches`` intersects the same lists with some slack.
 
 Windows of an item share terms, so an item has few lookups.  A term that the corpus lacks rules its windows out.
 Postings are kept for the looked-up terms alone; frequent terms are looked up only where a window has no others.
-The terms are broadcast if they are at most ``BROADCAST_TERMS``, and joined by a shuffle beyond.
+The pass that finds them also counts each document's words, and only texts with a candidate are read again: the others
+never move.  Terms and candidates are small or large as they are; Spark broadcasts them by the size of their files.
 
-Lists are built with ``lower``, which also folds letters beyond A-Z; the last comparison does not.
+Lists are built with ``lower`` and one form of sigma, whose lower case depends on what follows, on both sides; the last
+comparison folds A-Z only.
 
 Defined cases: NULL and empty texts have no words and no hits; items without words have no windows; rows of a benchmark
 that share an id are one item with the windows of both; NULL item ids are left out; an empty benchmark hits nothing.
@@ -22,11 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import LAST_ID, given_id, identified, row_key, stored
+from llm.common import given_id, identified, packed, stored
 
 WINDOW = 13
 LOOKED_UP = 2  # rarest terms of a window; ``candidates`` relies on there being two at most
-BROADCAST_TERMS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-cased text
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -42,11 +43,12 @@ def words(text: Column) -> Column:
 
 def folded_words(text: Column) -> Column:
     """The same words, as many and in the same order, with all letters in lower case: much faster to make."""
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(folded(text), F.lit(WORD), F.lit(0))
 
 
-def _small(terms: DataFrame) -> DataFrame:
-    return F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms
+def folded(text: Column) -> Column:
+    """Lower case in which a letter's form does not depend on the letters beside it."""
+    return F.replace(F.lower(text), F.lit("\u03c2"), F.lit("\u03c3"))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -58,10 +60,10 @@ def _items(benchmark: DataFrame) -> DataFrame:
 def lookups(items: DataFrame, named: DataFrame, window: int = WINDOW) -> DataFrame:
     """``(row, item, probe, terms, place, term)``: the rarest terms of each window with their places in the item."""
     placed = items.select("row", "item", F.size("words").alias("n"), F.posexplode("words").alias("place", "word"))
-    placed = stored(placed.select("row", "item", "n", "place", F.lower("word").alias("term")), "items")
+    placed = stored(placed.select("row", "item", "n", "place", folded(F.col("word")).alias("term")), "items")
     vocabulary = stored(placed.select("term").distinct(), "vocabulary")
     corpus = named.select(F.explode(folded_words(F.col("text"))).alias("term"))
-    counts = stored(corpus.join(_small(vocabulary), "term").groupBy("term").count(), "counts")
+    counts = stored(corpus.join(vocabulary, "term").groupBy("term").count(), "counts")
     # A place belongs to the windows that start at most 12 places before it.
     begin = F.explode(F.sequence(F.greatest(F.lit(0), F.col("place") - window + 1), F.least(F.col("place"), F.greatest(F.lit(0), F.col("n") - window))))
     known = placed.join(counts, "term").select("row", "item", "n", "place", "term", "count", begin.alias("begin"))
@@ -74,19 +76,24 @@ def lookups(items: DataFrame, named: DataFrame, window: int = WINDOW) -> DataFra
     return stored(probes.select("row", "item", "probe", "terms", "at.place", "at.term"), "probes")
 
 
-def postings(named: DataFrame, terms: DataFrame) -> DataFrame:
-    """``(term, did, tkey, position)`` of ``terms`` in all documents."""
-    spread = named.select("did", "tkey", F.posexplode(folded_words(F.col("text"))).alias("position", "term"))
-    return spread.join(_small(stored(terms.select("term").distinct(), "terms")), "term")
+def postings(named: DataFrame, terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(term, did, tkey, position)`` of ``terms`` in all documents, and ``(did, tkey, n_words)`` of every row."""
+    listed = named.select("did", "tkey", folded_words(F.col("text")).alias("words"))
+    spread = listed.select("did", "tkey", F.size("words").alias("n_words"), F.posexplode_outer("words").alias("position", "word"))
+    known = stored(terms.select("term").distinct(), "terms")
+    first = F.coalesce(F.col("position"), F.lit(0)) == 0  # also the one row of a text without words
+    kept = spread.join(known, F.col("word") == F.col("term"), "left").where(F.col("term").isNotNull() | first)
+    kept = stored(kept.select("did", "tkey", "position", "term", F.when(first, F.col("n_words")).cast("long").alias("n_words")), "postings")
+    return kept.where("term IS NOT NULL").select("term", "did", "tkey", "position"), kept.where("n_words IS NOT NULL").select("did", "tkey", "n_words")
 
 
 def _diagonals(lists: DataFrame, probes: DataFrame) -> DataFrame:
     return lists.join(probes, "term").select("row", "item", "probe", "terms", "place", "did", "tkey", (F.col("position") - F.col("place")).alias("diagonal"))
 
 
-def candidates(named: DataFrame, probes: DataFrame) -> DataFrame:
+def candidates(lists: DataFrame, probes: DataFrame) -> DataFrame:
     """``(did, tkey, row, diagonal)`` where all looked-up terms of a window meet."""
-    met = _diagonals(postings(named, probes), probes).groupBy("row", "probe", "terms", "did", "tkey", "diagonal").agg(
+    met = _diagonals(lists, probes).groupBy("row", "probe", "terms", "did", "tkey", "diagonal").agg(
         F.min("place").alias("first"), F.max("place").alias("last")
     )
     return met.where("terms = 1 OR first < last").select("did", "tkey", "row", "diagonal").distinct()
@@ -100,7 +107,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slack: int = 5) ->
     """
     named, size = identified(docs), 2 * slack + 1
     probes = lookups(_items(benchmark), named)
-    rows = _diagonals(postings(named, probes), probes)
+    rows = _diagonals(postings(named, probes)[0], probes)
     cells = F.array(*[F.struct(F.lit(g).alias("grid"), F.floor((F.col("diagonal") + g * slack) / size).alias("cell")) for g in (0, 1)])
     # A cell has at most as many entries as diagonals and terms.
     met = rows.withColumn("at", F.explode(cells)).groupBy("item", "probe", "terms", "did", "tkey", "at").agg(
@@ -119,12 +126,12 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
     """``(did, tkey, n_words, n_hit, items)`` of every row of ``docs``: words inside windows, and ids of items found."""
     named = identified(docs)
     items = stored(_items(benchmark), "words")
-    found = candidates(named, lookups(items, named, window))
+    probes = lookups(items, named, window)
+    lists, sizes = postings(named, probes)
+    found = stored(candidates(lists, probes), "candidates")
+    read = named.join(found.select("did", "tkey").distinct(), ["did", "tkey"], "left_semi").dropDuplicates(["did", "tkey"])
     listed = found.join(items, "row").groupBy("did", "tkey").agg(F.collect_list(F.struct("item", "diagonal", "words")).alias("found"))
-    joined = named.join(listed, ["did", "tkey"], "left").select(
-        "did", "tkey", "found", F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"),
-        F.when(F.col("found").isNotNull(), words(F.col("text"))).alias("own"),
-    )
+    joined = read.join(listed, ["did", "tkey"]).select("did", "tkey", "found", words(F.col("text")).alias("own"))
 
     def starts(c: Column) -> Column:
         """Places in the document where a window of the item stands on the diagonal."""
@@ -136,12 +143,15 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 
     matched = F.transform("found", lambda c: F.struct(c["item"].alias("item"), F.least(F.size(c["words"]), F.lit(window)).alias("long"), starts(c).alias("starts")))
     matched = F.filter(matched, lambda m: F.size(m["starts"]) > 0)
-    hit = joined.select("did", "tkey", "n_words", matched.alias("m"))
+    hit = joined.select("did", "tkey", matched.alias("m"))
     covered = F.flatten(F.transform("m", lambda m: F.flatten(F.transform(m["starts"], lambda s: F.sequence(s, s + m["long"] - 1)))))
-    return hit.select(
-        "did", "tkey", "n_words",
-        F.coalesce(F.size(F.array_distinct(covered)), F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.array_sort(F.array_distinct(F.transform("m", lambda m: m["item"]))), F.array().cast("array<string>")).alias("items"),
+    hits = hit.select(
+        "did", "tkey", F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.transform("m", lambda m: m["item"]))).alias("items"),
+    )
+    none = F.array().cast("array<string>")
+    return sizes.join(stored(hits, "hits"), ["did", "tkey"], "left").select(
+        "did", "tkey", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items")
     )
 
 
@@ -152,10 +162,7 @@ def contaminated(n_hit: Column, n_words: Column) -> Column:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, unchanged."""
     bad = phrase_matches(docs, benchmark).where(contaminated(F.col("n_hit"), F.col("n_words"))).select("did", "tkey").distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))).withColumn("tkey", row_key(text))
-    own = keyed.select(F.struct(*docs.columns).alias("__doc"), "did", "tkey")
-    return own.join(bad, ["did", "tkey"], "left_anti").select("__doc.*")
+    return packed(docs).join(bad, ["did", "tkey"], "left_anti").select("doc.*")
 
 
 def op4(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
