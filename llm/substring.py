@@ -268,8 +268,9 @@ def repeated_windows(named: DataFrame, texts: DataFrame | None = None) -> DataFr
     """
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // (6 * BUCKET)))  # a word is about six bytes
-    # Low bytes of a hash that, with the bucket, tell apart a thousand times as many hashes as there are words.
-    width = min(8, max(4, -(-(int(total).bit_length() + 10 - int(buckets).bit_length()) // 8)))
+    # Low bytes of a hash that, with the bucket, tell apart a hundred times as many hashes as there are words: one block in
+    # a hundred is an anchor by chance then, which costs less than another byte of every hash.
+    width = min(8, max(4, -(-(int(total // 6).bit_length() + 7 - int(buckets).bit_length()) // 8)))
     probes = named.mapInArrow(_probes(buckets, width), _MESSAGE)
     homes = max(8, -(-total // HOME_BYTES))
     anchors = gathered(probes.groupBy("bucket").applyInPandas(_met(width, homes), _REPLY))
