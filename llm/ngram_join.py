@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import LAST_ID, Windows, byte_windows, given_id, identified, lowered, mix, pieces, plain_words, row_key, stored
+from llm.common import Windows, byte_windows, given_id, identified, lowered, mix, packed, pieces, plain_words, stored
 from llm.graph import components
 from llm.pairs import Forest, block_tasks, sides, spread_blocks, streamed_groups
 
@@ -243,11 +243,8 @@ def similar_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class one row with the smallest id stays."""
     kept = similar_texts(docs, threshold).where("did = class_id AND tkey = class_key").select("did", "tkey").distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))).withColumn("tkey", row_key(text))
     first = F.row_number().over(Window.partitionBy("did", "tkey").orderBy("did"))
-    own = keyed.select(F.struct(*docs.columns).alias("__doc"), "did", "tkey")
-    return own.join(kept, ["did", "tkey"], "left_semi").withColumn("nth", first).where("nth = 1").select("__doc.*")
+    return packed(docs).join(kept, ["did", "tkey"], "left_semi").withColumn("nth", first).where("nth = 1").select("doc.*")
 
 
 def op5(docs: DataFrame) -> DataFrame:
