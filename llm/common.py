@@ -49,7 +49,17 @@ def stored(df: DataFrame, name: str, release: bool = False) -> DataFrame:
     if release:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored frames that no plan reads any more."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path.getFileSystem(conf).delete(path, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

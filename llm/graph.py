@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stored
+from llm.common import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,5 +35,6 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         size = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if size == seen or not size[0]:
             return now.select(F.col("b").alias("id"), F.col("a").alias("root"))
-        seen = size
-        now = stored(_small_star(_large_star(now)), name)
+        seen, before = size, now
+        now = stored(_small_star(_large_star(before)), name)
+        discard(before)
