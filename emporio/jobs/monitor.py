@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 
 from emporio.plans.warehouse import INCREMENTAL
 from emporio.quality.freshness import TOLERANCE_HOURS, check_freshness
-from emporio.quality.reconcile import reconcile, select_checks
+from emporio.quality.reconcile import database_scalars, judge, scalars, select_checks
 from emporio.registry import TABLES
 from emporio.session import build_session
 from emporio.sinks.export import append_audit
@@ -43,9 +43,10 @@ def main(argv: list[str] | None = None) -> int:
         jdbc = JdbcConf(os.environ["EMPORIO_JDBC_URL"], os.getenv("EMPORIO_JDBC_DRIVER"),
                         os.getenv("EMPORIO_JDBC_USER"), os.getenv("EMPORIO_JDBC_PASSWORD"))
         options = {k: v for k, v in vars(jdbc).items() if v is not None}
-        source = {e.full_name: spark.read.format("jdbc").options(**options, dbtable=e.full_name).load() for e in TABLES}
         checks = select_checks(args.table, args.tolerance)
-        result = reconcile(gold, source, now.date(), checks)
+        # Gold is summed here, the source where it is: one row per table is fetched.
+        found = scalars(gold, checks, "gold", now.date()), database_scalars(spark, options, checks, now.date())
+        result = judge(*found, checks)
     rows = result.collect()
     append_audit(spark.createDataFrame(rows, result.schema), args.output or f"{args.warehouse.rstrip('/')}/_audit/{args.what}")
     failed = [r for r in rows if not r["passed"]]
