@@ -9,7 +9,8 @@ from collections import Counter
 
 import pytest
 
-from llm.lines import SIMILARITY, normal_line, op8, simhashes, within, without_repeats
+from llm.edits import within_limits
+from llm.lines import SIMILARITY, normal_line, op8, simhashes, within, without_repeats, word_edits
 from llm.ngram_join import fewest_agreements, one_of_each, op5
 from llm.substring import op10
 from llm.suffix import op1, suffix_array
@@ -122,6 +123,26 @@ def test_within_is_edit_distance():
         assert within(a, b, d) and not (d and within(a, b, d - 1))
 
 
+def test_distances_in_batches_are_edit_distances():
+    """Strings of any length and script, limits around the true distance, mixed lengths in one batch."""
+    rng, pairs, limits, want = random.Random(9), [], [], []
+    for _ in range(200):
+        a = [rng.choice("abcdé漢") for _ in range(rng.choice([0, 1, 5, 30, 63, 64, 65, 129, 200]))]
+        b = list(a)
+        for _ in range(rng.randrange(0, max(2, len(a) // 5))):
+            p = rng.randrange(len(b) + 1)
+            b[p : p + rng.randrange(2)] = rng.choice(["", "x", "é"])
+        a, b = "".join(a), "".join(b)
+        d = lev(a, b)
+        for limit in {max(0, d - 1), d, d + 1, len(a) // 10}:
+            pairs.append((a, b))
+            limits.append(limit)
+            want.append(d <= limit)
+    assert within_limits(pairs, limits, within) == want
+    for a, b in pairs[:100]:
+        assert word_edits(a.split(" "), b.split(" ")) >= lev(a, b)
+
+
 def test_equal_and_close_lines_go(spark):
     rng = random.Random(5)
     long = " ".join(plain_words(text(rng, 80)))
@@ -240,10 +261,10 @@ def test_simhash_is_the_majority_of_bits():
 
 
 def test_one_very_long_line_and_text(spark):
-    """A line of 300,000 characters in a text of 30,000 lines: nothing is cut off, the copy with an edit far back goes."""
+    """A line of 60,000 characters in a text of 3,000 lines: nothing is cut off, the copy with an edit far back goes."""
     rng = random.Random(3)
-    long = " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(50_000))
-    many = "\n".join(f"line {rng.random()} of a long text, words {rng.random()}".replace("0.", "").translate(str.maketrans("0123456789", "qwertyuiop")) for _ in range(30_000))
+    long = " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(10_000))
+    many = "\n".join(f"line {rng.random()} of a long text, words {rng.random()}".replace("0.", "").translate(str.maketrans("0123456789", "qwertyuiop")) for _ in range(3_000))
     rows = [(1, long + "\n" + many), (2, long[:-3] + "zzz"), (3, many[-60:].split("\n")[-1])]
     got = {r.doc_id: r.removed_lines for r in op8(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[2] == "0" and got[3] == "0" and got[1] == ""
