@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import query
@@ -181,7 +183,75 @@ def subject_export(m):
     return privacy.subject_rows({"pedidos": m["stg_vendas__pedidos"]}, people, PERSON)["pedidos"]
 
 
-@query("pseudonymise", "id_cliente:l cpf:s email:s uf:s")
+SECRET = "a test key, not a secret"
+
+
+def hmac_sql(value: str, key: str = SECRET) -> str:
+    """HMAC-SHA256 of a text in hex, by its definition."""
+    padded = key.encode().ljust(64, b"\0")
+    inner, outer = (bytes(b ^ x for b in padded).hex() for x in (0x36, 0x5C))
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({value}))))"
+
+
+@query(
+    "pseudonymise",
+    "id_cliente:l cpf:s email:s uf:s",
+    f"SELECT id_cliente, {hmac_sql('cpf')} AS cpf, {hmac_sql('email')} AS email, uf FROM src_clientes__clientes",
+)
 def pseudonymise(m):
-    """Person numbers and addresses replaced by keyed digests; no HMAC in the comparison engine."""
-    return privacy.pseudonymise(m["stg_clientes__clientes"], ["cpf", "email"], "a test key, not a secret")
+    """Person numbers and addresses replaced by keyed digests."""
+    return privacy.pseudonymise(m["stg_clientes__clientes"], ["cpf", "email"], SECRET)
+
+
+# People with an order that was given back: every one of them asks to be forgotten.
+ERASED_SQL = """SELECT DISTINCT cpf FROM src_clientes__clientes JOIN src_vendas__pedidos USING (id_cliente) WHERE status = 'devolvido'"""
+TOMBSTONE_SQL = f"'[REMOVIDO:' || left({hmac_sql('cpf')}, 16) || ']'"
+
+
+def _erased_keys(m):
+    people = m["stg_clientes__clientes"].join(m["stg_vendas__pedidos"].filter("status = 'devolvido'").select("id_cliente"), "id_cliente", "left_semi")
+    frames = {n: m.source(n) for n in ("clientes.clientes", "vendas.pedidos", "web_analytics.sessoes")}
+    return privacy.subject_keys(frames, people.select("cpf"), SECRET)
+
+
+@query(
+    "erasure_closure",
+    "tabela:s id:l cpf:s cep:s cidade:s",
+    f"""WITH pessoas AS (SELECT id_cliente, cpf, {TOMBSTONE_SQL} AS lapide FROM src_clientes__clientes WHERE cpf IN ({ERASED_SQL}))
+        SELECT 'clientes' AS tabela, id_cliente AS id, lapide AS cpf, CASE WHEN c.cep IS NOT NULL THEN '[REMOVIDO]' END AS cep,
+          CASE WHEN c.cidade IS NOT NULL THEN '[REMOVIDO]' END AS cidade
+        FROM src_clientes__clientes c JOIN (SELECT id_cliente, lapide FROM pessoas) p USING (id_cliente)
+        UNION ALL
+        SELECT 'enderecos', id_endereco, NULL, CASE WHEN e.cep IS NOT NULL THEN '[REMOVIDO]' END, CASE WHEN e.cidade IS NOT NULL THEN '[REMOVIDO]' END
+        FROM src_clientes__enderecos e JOIN (SELECT id_cliente FROM pessoas) p USING (id_cliente)""",
+)
+def erasure_closure(m):
+    """People and their addresses, which know the customer only, blanked; each person keeps a tombstone of their own."""
+    frames = {"clientes": m.source("clientes.clientes"), "enderecos": m.source("clientes.enderecos")}
+    done = privacy.erase_subjects(frames, _erased_keys(m))
+    people = done["clientes"].select(F.lit("clientes").alias("tabela"), F.col("id_cliente").alias("id"), "cpf", "cep", "cidade")
+    homes = done["enderecos"].select(F.lit("enderecos").alias("tabela"), F.col("id_endereco").alias("id"), F.lit(None).cast("string").alias("cpf"), "cep", "cidade")
+    return people.unionByName(homes)
+
+
+@query(
+    "subject_closure",
+    "tabela:s pessoa:s linhas:l",
+    f"""WITH pessoas AS (SELECT DISTINCT id_cliente, {TOMBSTONE_SQL} AS pessoa FROM src_clientes__clientes WHERE cpf IN ({ERASED_SQL})),
+          pedidos AS (SELECT DISTINCT id_pedido, pessoa FROM src_vendas__pedidos JOIN pessoas USING (id_cliente)),
+          sessoes AS (SELECT DISTINCT id_sessao, pessoa FROM src_web_analytics__sessoes JOIN pessoas USING (id_cliente))
+        SELECT 'itens' AS tabela, pessoa, count(*) AS linhas FROM src_vendas__itens_pedido JOIN pedidos USING (id_pedido) GROUP BY ALL
+        UNION ALL SELECT 'entregas', pessoa, count(*) FROM src_logistica__entregas JOIN pedidos USING (id_pedido) GROUP BY ALL
+        UNION ALL SELECT 'eventos', pessoa, count(*) FROM src_web_analytics__eventos_carrinho JOIN sessoes USING (id_sessao) GROUP BY ALL
+        UNION ALL SELECT 'vendas', pessoa, count(*) FROM mod_venda JOIN (SELECT md5(CAST(id_cliente AS VARCHAR)) AS sk_cliente, pessoa FROM pessoas) p
+          USING (sk_cliente) GROUP BY ALL""",
+)
+def subject_closure(m):
+    """Rows of each erased person in tables that know orders, sessions or surrogate keys only."""
+    frames = {
+        "itens": m.source("vendas.itens_pedido"), "entregas": m.source("logistica.entregas"),
+        "eventos": m.source("web_analytics.eventos_carrinho"), "vendas": m["fato_venda"],
+    }
+    found = privacy.rows_of_subjects(frames, _erased_keys(m))
+    rows = [df.groupBy(F.col("subject").alias("pessoa")).agg(F.count(F.lit(1)).alias("linhas")).withColumn("tabela", F.lit(n)) for n, df in found.items()]
+    return reduce(DataFrame.unionByName, rows)

@@ -16,7 +16,7 @@ tables that are kept up to date from this one.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -290,6 +290,24 @@ class Warehouse:
         for old_at in sorted(kept)[: -KEPT_IMAGES]:
             self._delete(f"{root}/at={old_at}")
 
+    def drop_partitions(self, name: str, which: Callable[[int], bool]) -> list[int]:
+        """Delete the partitions whose value ``which`` accepts; their files are not opened."""
+        state = self._state(name)
+        path = self.path(name)
+        values = [f.getPath().getName() for f in self._list(path)]
+        found = sorted(int(v.split("=")[1]) for v in values if v.startswith(f"{PARTITION}=") and v.split("=")[1].isdigit())
+        gone = [v for v in found if which(v)]
+        for value in gone:
+            self._delete(f"{path}/{PARTITION}={value}")
+        if gone:
+            self._commit(name, self._snapshot(name), T.StructType.fromJson(json.loads(state["schema"])), None, None)
+        return gone
+
+    def _list(self, path: str):
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return hadoop_path.getFileSystem(conf).listStatus(hadoop_path)
+
     def _delete(self, path: str) -> None:
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
