@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.models import hash_of
 from catalog.operators import VERSIONS_SQL, customer_versions
 from catalog.registry import query
+from emporio.operators.distinct import member_count, members, merged
 from emporio.operators.joins import interval_join
 from emporio.operators.scd2 import OPEN_END
 from emporio.operators.timeline import at_version, merge_timeline, moved_segments, repointed
@@ -140,3 +141,29 @@ def sums_by_retraction(m):
     changed = spec.changed(spec.moved([(1, postponed), (2, returned)]), held, now)
     same = held.join(changed.select(GROUP), GROUP, "left_anti")
     return same.unionByName(changed).filter(F.col(ROWS) > 0).drop(GROUP, ROWS, UNTIL)
+
+
+# -- distinct members from stored days ---------------------------------------
+
+_BUYERS = """SELECT id_cliente, canal_venda, year(dt_pedido) AS ano, month(dt_pedido) AS mes FROM src_vendas__pedidos"""
+
+
+@query(
+    "distinct_rollup",
+    "nivel:s canal_venda:s ano:l mes:l clientes:l",
+    f"""SELECT 'mes_canal' AS nivel, canal_venda, ano, mes, count(DISTINCT id_cliente) AS clientes FROM ({_BUYERS}) a GROUP BY ALL
+        UNION ALL SELECT 'mes', NULL, ano, mes, count(DISTINCT id_cliente) FROM ({_BUYERS}) b GROUP BY ALL
+        UNION ALL SELECT 'canal', canal_venda, NULL, NULL, count(DISTINCT id_cliente) FROM ({_BUYERS}) c GROUP BY ALL
+        UNION ALL SELECT 'tudo', NULL, NULL, NULL, count(DISTINCT id_cliente) FROM ({_BUYERS}) d""",
+)
+def distinct_rollup(m):
+    """Customers per month and channel, per month, per channel and in all, merged from the members of each day."""
+    orders = m["stg_vendas__pedidos"].select("id_cliente", "canal_venda", F.to_date("dt_pedido").alias("dia"))
+    days = members(orders, ["dia", "canal_venda"], "id_cliente")
+    months = merged(days.withColumns({"ano": F.year("dia"), "mes": F.month("dia")}), ["ano", "mes", "canal_venda"])
+    levels = {"mes_canal": ["canal_venda", "ano", "mes"], "mes": ["ano", "mes"], "canal": ["canal_venda"], "tudo": []}
+    out = None
+    for name, keys in levels.items():
+        level = member_count(months, keys, "clientes").withColumn("nivel", F.lit(name))
+        out = level if out is None else out.unionByName(level, allowMissingColumns=True)
+    return out

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import day
 from emporio.operators.dedup import latest_per_key
+from emporio.operators.distinct import member_count, members, merged
 from emporio.operators.incremental import between, high_water, last_days, newer_than
 from emporio.operators.joins import Lookup, having_any, interval_join, orphans, star_lookup, tiles
 from emporio.operators.periods import cohort, last_value, period_shifts, rolling_sums, trailing
@@ -255,3 +256,22 @@ def test_scd2_history(spark):
     facts = spark.createDataFrame([(1, day("2024-01-31")), (1, day("2024-02-01")), (3, day("2024-03-01"))], "nk int, d date")
     found = {(r["nk"], r["d"]): r["uf"] for r in scd2_as_of(facts, second, "nk", "d").collect()}
     assert found == {(1, date(2024, 1, 31)): "SP", (1, date(2024, 2, 1)): "PR", (3, date(2024, 3, 1)): None}
+
+
+def test_members_of_days_merge_to_exact_distinct_counts(spark):
+    """Ids in several ranges, negative and missing ones, late rows for a stored day, groups without members."""
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(5), rng.choice([None, -3, 0, 1, 32767, 32768, 32769, 10**9, *range(40)])) for _ in range(400)]
+    schema = "loja string, dia int, quem long"
+    first, late = rows[:300], rows[300:]
+    stored = members(spark.createDataFrame(first, schema), ["loja", "dia"], "quem")
+    state = merged([stored, members(spark.createDataFrame(late, schema), ["loja", "dia"], "quem")], ["loja", "dia"])
+    for keys, of in ((["loja", "dia"], lambda r: r[:2]), (["loja"], lambda r: r[:1]), ([], lambda r: ())):
+        want = {}
+        for r in rows:
+            if r[2] is not None:
+                want.setdefault(of(r), set()).add(r[2])
+        got = {tuple(r[k] for k in keys): r["n"] for r in member_count(state, keys, "n").collect()}
+        assert got == {k: len(v) for k, v in want.items()}
+    plan = member_count(stored, ["loja"], "n")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
