@@ -9,8 +9,9 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from emporio.session import build_session
 from emporio.sinks.bronze import append_bronze
 from emporio.sinks.control import WatermarkLog, resolve_mode
 from emporio.sinks.export import TaskResult, run_all
+from emporio.sources.bronze import delete_path
 from emporio.sources.jdbc import EPOCH, JdbcConf, extract_incremental
 
 Extract = Callable[[TableEntry, datetime], DataFrame]
@@ -32,15 +34,23 @@ def process_table(
     log = WatermarkLog(spark, bronze_root)
     mode = resolve_mode(spark, entry, mode, bronze_root)
     watermark = EPOCH if mode == "full" else log.read(entry)
-    batch = extract(entry, watermark)
-    size = batch.agg(F.count(F.lit(1)).alias("n"), F.unix_micros(F.max(entry.watermark_col)).alias("top")).first()
-    if not size["n"]:
+    # The source is read once: what it gave is kept, and counted and landed from there.
+    kept = f"{bronze_root.rstrip('/')}/_extracted/{entry.watermark_key}-{uuid.uuid4().hex}"
+    schema = entry.source_schema
+    extract(entry, watermark).select(*schema.names).write.parquet(kept)
+    try:
+        batch = spark.read.schema(schema).parquet(kept)
+        size = batch.agg(F.count(F.lit(1)).alias("n"), F.unix_micros(F.max(entry.watermark_col)).alias("top")).first()
+        if not size["n"]:
+            log.touch(entry, ingested_at)
+            return {"table": entry.full_name, "rows": 0, "status": "skip"}
+        append_bronze(batch, entry, bronze_root, ingested_at, size["n"])
+    finally:
+        delete_path(spark, kept)
+    if size["top"] is None:  # nothing but rows without a mark
         log.touch(entry, ingested_at)
-        return {"table": entry.full_name, "rows": 0, "status": "skip"}
-    top = datetime.fromtimestamp(size["top"] / 1_000_000, tz=timezone.utc)
-    # Rows changed between the count and the write belong to the next batch.
-    batch = batch.filter(F.col(entry.watermark_col) <= F.lit(top))
-    append_bronze(batch, entry, bronze_root, ingested_at, size["n"])
+        return {"table": entry.full_name, "rows": size["n"], "watermark": None, "status": "ok"}
+    top = datetime.fromtimestamp(size["top"] // 1_000_000, tz=timezone.utc) + timedelta(microseconds=size["top"] % 1_000_000)
     log.commit(entry, top, ingested_at)
     return {"table": entry.full_name, "rows": size["n"], "watermark": top.isoformat(), "status": "ok"}
 

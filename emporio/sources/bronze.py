@@ -26,6 +26,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop_path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop_path, True)
+
+
 def on_or_after(day: date) -> Column:
     """Partition filter: directories not older than ``day``."""
     year, month = F.col("year").cast("int"), F.col("month").cast("int")

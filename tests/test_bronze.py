@@ -1,4 +1,6 @@
-from datetime import date, timedelta
+import random
+from dataclasses import replace
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from emporio.sinks.bronze import append_bronze
 from emporio.sinks.control import WatermarkLog, resolve_mode
 from emporio.sinks.tables import Warehouse
 from emporio.sources import bronze
-from emporio.sources.jdbc import EPOCH, JdbcConf, reader_options
+from emporio.sources.jdbc import EPOCH, JdbcConf, histogram_query, reader_options, slices
 from emporio.streaming.staging import stream_staging
 
 STORES = TABLES_BY_NAME["rh.lojas"]
@@ -205,3 +207,44 @@ def test_snapshot_replaces_columns_and_survives_an_abandoned_write(spark, tmp_pa
     assert sorted(map(tuple, w.read("t").collect())) == [(1, None), (2, 5)]
     with pytest.raises(FileNotFoundError):
         w.read("other")
+
+
+def test_slices_cover_every_row_once_and_have_equal_sizes(spark):
+    """Skewed days, rows before the first and after the last counted day, NULL marks, a day larger than a slice."""
+    rng = random.Random(4)
+    first = datetime(1997, 3, 1, tzinfo=timezone.utc)
+    rows = []
+    for i in range(2000):
+        day = 400 if rng.random() < 0.5 else int(rng.expovariate(0.01))
+        rows.append((i, None if i % 97 == 0 else first + timedelta(days=day, seconds=rng.randrange(86_400))))
+    df = spark.createDataFrame(rows, "id_loja int, updated_at timestamp")
+    df.createOrReplaceTempView("lojas_cortadas")
+    entry = replace(STORES, schema="x", table="y")
+    for mark in (EPOCH, first + timedelta(days=50)):
+        counted = spark.sql(histogram_query(entry, mark).replace("x.y", "lojas_cortadas")).collect()
+        cut = slices(entry, [(r[0], r[1]) for r in counted], mark, rows=100)
+        wanted = [i for i, t in rows if mark == EPOCH or (t is not None and t > mark)]
+        # Rows that change after the count, before and after all days it knows.
+        late = df.unionByName(spark.createDataFrame([(9001, first - timedelta(days=900)), (9002, first + timedelta(days=9999))], df.schema))
+        late.createOrReplaceTempView("lojas_depois")
+        parts = [[r[0] for r in spark.sql(f"SELECT id_loja FROM lojas_depois WHERE {p}").collect()] for p in cut]
+        assert sorted(i for p in parts for i in p) == sorted([*wanted, 9002] + ([9001] if mark == EPOCH else []))
+        assert max(map(len, parts)) <= 160 and len(parts) >= len(wanted) / 160
+    assert slices(entry, [], EPOCH) == ["updated_at IS NOT NULL", "updated_at IS NULL"]
+    assert slices(entry, [], first) == ["updated_at > TIMESTAMP '1997-03-01 00:00:00'"]
+
+
+def test_a_batch_is_extracted_once_and_rows_without_a_mark_land(spark, tmp_path):
+    rows = stores(spark, (1, "A", "2026-01-01")).unionByName(stores(spark, (2, "B", "2026-01-01")).withColumn("updated_at", F.lit(None).cast("timestamp")))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    extract = lambda entry, mark: rows.mapInArrow(counted, rows.schema)
+    done = ingest(spark, str(tmp_path), extract, "full", ["rh.lojas"], at("2026-03-01"))
+    assert done[0].value["rows"] == 2 and seen.value == 2
+    assert codes(bronze.read_bronze(spark, STORES, str(tmp_path))) == {1: "A", 2: "B"}
+    assert not list((tmp_path / "_extracted").iterdir())
