@@ -159,11 +159,14 @@ def mix_sources(
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the mix takes, one row each with ``size``, ``target``, ``copies`` and ``taken``."""
-    taken = mix_sources(docs, **options).where("copies > 0")
-    added = taken.select(F.col("row").alias("_row"), *[F.col(c).alias(f"_{c}") for c in ("size", "target", "copies", "taken")])
-    own = docs.withColumn("_row", content(docs)).join(added, "_row")
-    return own.select(*[docs[c] for c in docs.columns], *[F.col(f"_{c}").alias(c) for c in ("size", "target", "copies", "taken")])
+    """The documents that the mix takes, one row each with ``size``, ``target``, ``copies`` and ``taken``.
+
+    These four replace columns of ``docs`` that have their names.
+    """
+    made = ["size", "target", "copies", "taken"]
+    added = mix_sources(docs, **options).where("copies > 0").select("row", F.struct(*made).alias("mix"))
+    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), content(docs).alias("row")).join(added, "row")
+    return own.select(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c not in made], *[F.col(f"mix.{c}").alias(c) for c in made])
 
 
 def op7(docs: DataFrame) -> DataFrame:
