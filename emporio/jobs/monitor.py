@@ -13,7 +13,6 @@ from datetime import datetime, timezone
 from emporio.plans.warehouse import INCREMENTAL
 from emporio.quality.freshness import TOLERANCE_HOURS, check_freshness
 from emporio.quality.reconcile import database_scalars, judge, scalars, select_checks
-from emporio.registry import TABLES
 from emporio.session import build_session
 from emporio.sinks.export import append_audit
 from emporio.sinks.tables import Warehouse
