@@ -275,3 +275,15 @@ def test_members_of_days_merge_to_exact_distinct_counts(spark):
         assert got == {k: len(v) for k, v in want.items()}
     plan = member_count(stored, ["loja"], "n")._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan
+
+
+def test_members_far_apart_cost_a_row_each_not_a_range(spark):
+    """Eight bytes per group and 64 ids, kept in a hash table; ids at the ends of the whole numbers count too."""
+    far = [n * 10**6 for n in range(300)] + [2**63 - 1, -(2**63)]
+    rows = [("longe", n) for n in far] + [("perto", n) for n in range(-640, 640)] * 2
+    state = members(spark.createDataFrame(rows, "loja string, quem long"), ["loja"], "quem")
+    assert state.schema["__bits"].dataType.simpleString() == "bigint"
+    assert {r["loja"]: r["count"] for r in state.groupBy("loja").count().collect()} == {"longe": 302, "perto": 20}
+    counted = member_count(merged([state, state], ["loja"]), ["loja"], "n")
+    assert {r["loja"]: r["n"] for r in counted.collect()} == {"longe": 302, "perto": 1280}
+    assert "SortAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
