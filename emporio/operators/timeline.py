@@ -21,14 +21,12 @@ def _last() -> Column:
     return F.lit(OPEN_END)
 
 
-def _opened(versions: DataFrame, key: str, state: Column) -> DataFrame:
-    return versions.select(F.col(key).alias("key"), F.col("valid_from").alias("day"), state.alias("state"))
-
-
-def _ended(versions: DataFrame, key: str, state: Column) -> DataFrame:
-    """The first day after each version that has an end."""
-    ended = versions.filter(F.col("valid_to") < _last())
-    return ended.select(F.col(key).alias("key"), F.date_add("valid_to", 1).alias("day"), state.alias("state"))
+def _turns(versions: DataFrame, key: str, opened: Column, ended: Column) -> DataFrame:
+    """The first day of each version, and the first day after each that has an end, in one pass over the versions."""
+    first = F.struct(F.col("valid_from").alias("day"), opened.alias("state"))
+    after = F.when(F.col("valid_to") < _last(), F.struct(F.date_add("valid_to", 1).alias("day"), ended.alias("state")))
+    turns = versions.select(F.col(key).alias("key"), F.explode(F.array_compact(F.array(first, after))).alias("turn"))
+    return turns.select("key", "turn.day", "turn.state")
 
 
 def merge_timeline(
@@ -53,9 +51,9 @@ def merge_timeline(
     absent = F.lit(None).cast(versions.select(present.alias("s")).schema["s"].dataType)
     nothing = F.lit(None).cast(known.schema[order].dataType)
 
-    def event(rows: DataFrame, kind: int, at: Column) -> DataFrame:
+    def event(rows: DataFrame, kind: Column, at: Column) -> DataFrame:
         # A wrapped state, as max_by would pass over a bare NULL state's fields alike.
-        rank = F.struct(F.lit(kind).alias("kind"), at.alias("order"), F.col("state.hash_row").alias("hash"))
+        rank = F.struct(kind.alias("kind"), at.alias("order"), F.col("state.hash_row").alias("hash"))
         return rows.select("key", "day", F.struct("state").alias("held"), rank.alias("rank"))
 
     left = F.col(gone).eqNullSafe(F.lit(True)) if gone else F.lit(False)
@@ -63,11 +61,8 @@ def merge_timeline(
     told = known.select(F.col(key).alias("key"), F.col(day).alias("day"), F.col(order).alias("order"), left.alias("left"), *typed).select(
         "key", "day", "order", F.when(~F.col("left"), present).alias("state")
     )
-    events = (
-        event(_ended(old, key, absent), 0, nothing)
-        .union(event(_opened(old, key, present), 1, nothing))
-        .union(event(told, 2, F.col("order")))
-    )
+    held_before = event(_turns(old, key, present, absent), F.col("state").isNotNull().cast("int"), nothing)
+    events = held_before.union(event(told, F.lit(2), F.col("order")))
     daily = events.groupBy("key", "day").agg(F.max_by("held", "rank").alias("held"))
     line = Window.partitionBy("key").orderBy("day")
     before = F.lag("held").over(line)
@@ -90,27 +85,21 @@ def moved_segments(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 
     ``(key, from_day, to_day, valid_from)``: closed ranges that do not overlap within a key, and the start of the version
     now in force, NULL where there is none.  Versions are the same if they start on the same day.  Both timelines are cut
-    at every start and end of either, and each piece looks back to the last event of each side.
+    at every start and end of either, and each piece looks back to the last event of each side.  Either timeline is read
+    once; a start is its own day, so an event is a day and a flag.  Versions without a key are left out.
     """
 
     def side(versions: DataFrame, n: int) -> DataFrame:
-        never = F.lit(None).cast("date")
-        both = _ended(versions, key, never).withColumn("opens", F.lit(False)).union(
-            _opened(versions, key, F.col("valid_from")).withColumn("opens", F.lit(True))
-        )
-        marks = [F.max(F.struct("opens", "state")).alias(f"m{k}") if k == n else F.lit(None).cast("struct<opens:boolean,state:date>").alias(f"m{k}") for k in (0, 1)]
-        return both.groupBy("key", "day").agg(*marks)
-
-    # Unchanged versions cancel before anything is sorted: their entities take no part.
-    same = ["key", "valid_from", "valid_to"]
-    a, b = [v.select(F.col(key).alias("key"), "valid_from", "valid_to") for v in (before, after)]
-    counted = a.withColumn("n", F.lit(1)).union(b.withColumn("n", F.lit(-1))).groupBy(*same).agg(F.sum("n").alias("n"))
-    touched = counted.filter("n <> 0").select(F.col("key").alias("__touched")).distinct()
-    a, b = [v.join(touched, F.col("key") == F.col("__touched"), "left_semi").withColumnRenamed("key", key) for v in (a, b)]
-    events = side(a, 0).union(side(b, 1)).groupBy("key", "day").agg(F.max("m0").alias("m0"), F.max("m1").alias("m1"))
+        turns = _turns(versions.filter(F.col(key).isNotNull()), key, F.lit(True), F.lit(False))
+        opens = [F.col("state") if k == n else F.lit(None).cast("boolean") for k in (0, 1)]
+        return turns.select("key", "day", *[c.alias(f"m{k}") for k, c in enumerate(opens)])
+
+    # A start outdoes an end on the same day.
+    events = side(before, 0).union(side(after, 1)).groupBy("key", "day").agg(F.max("m0").alias("m0"), F.max("m1").alias("m1"))
     line = Window.partitionBy("key").orderBy("day")
     so_far = line.rowsBetween(Window.unboundedPreceding, 0)
-    held = [F.last(f"m{k}", ignorenulls=True).over(so_far)["state"] for k in (0, 1)]
+    since = [F.when(F.col(f"m{k}").isNotNull(), F.struct(F.when(F.col(f"m{k}"), F.col("day")).alias("day"))) for k in (0, 1)]
+    held = [F.last(c, ignorenulls=True).over(so_far)["day"] for c in since]
     pieces = events.select(
         F.col("key").alias(key), F.col("day").alias("from_day"), F.coalesce(F.date_sub(F.lead("day").over(line), 1), _last()).alias("to_day"),
         held[0].alias("__was"), held[1].alias("valid_from"),

@@ -4,6 +4,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from emporio.functions.keys import row_hash
 from emporio.operators.scd2 import OPEN_END
@@ -108,6 +109,20 @@ def test_moved_segments_and_repointed_facts(spark, first):
     assert moved_segments(after, after, "nk").count() == 0
 
 
+def test_either_timeline_is_read_once(spark):
+    """Its steps stand in the plan one time, and nothing is sorted to be grouped; rows without a key take no part."""
+
+    def versions(n, start):
+        nk = F.when(F.col("id") != 2, F.col("id")).alias("nk")
+        return spark.range(n).select(nk, F.lit(start).alias("valid_from"), F.lit(OPEN_END).alias("valid_to"))
+
+    segments = moved_segments(versions(4, DAYS[3]), versions(5, DAYS[5]), "nk")
+    plan = segments._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 2 and "SortAggregate" not in plan
+    gone = {(k, DAYS[3], DAYS[4], None) for k in (0, 1, 3)}
+    assert {tuple(r) for r in segments.collect()} == gone | {(k, DAYS[5], OPEN_END, DAYS[5]) for k in (0, 1, 3, 4)}
+
+
 def test_stored_links_follow_the_dimension(spark, first, tmp_path):
     """Batches of facts and of backdated changes in turn: the stored links equal links made anew, other months stay as they are."""
     w = Warehouse(spark, str(tmp_path))
