@@ -24,11 +24,12 @@ from emporio.plans.star import Star
 
 @dataclass(frozen=True)
 class Context:
-    """Dates a measure may depend on: "today" and the selected period."""
+    """What a measure may depend on: "today", the selected period, and the columns its groups are made by."""
 
     as_of: date = date(2026, 7, 20)
     start: date = date(2023, 7, 21)
     end: date = date(2026, 7, 20)
+    grouped_by: tuple[str, ...] = ()
 
     def days_back(self, n: int) -> Column:
         return F.lit(self.as_of - timedelta(days=n))
@@ -101,6 +102,18 @@ def _share(condition: Column, base: Column) -> Column:
     return safe_divide(F.count_if(condition), F.count_if(base))
 
 
+def _members(ctx: Context, who: str, condition: Column | None = None) -> Column:
+    """Distinct values of ``who`` on rows where ``condition`` holds.
+
+    A group made by ``who`` has one value at most, which a flag tells: several distinct counts in one aggregation cost
+    an Expand, which sends every row once per count.
+    """
+    if who not in ctx.grouped_by:
+        return F.count_distinct(who) if condition is None else count_if_distinct(condition, _c(who))
+    counts = _c(who).isNotNull() if condition is None else condition & _c(who).isNotNull()
+    return F.max(F.when(counts, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
+
+
 MEASURES: dict[str, Measure | Derived] = {
     # Sales
     "receita_bruta": _sales(lambda ctx: sum_if(~_c("fl_cancelado"), _gross())),
@@ -144,7 +157,7 @@ MEASURES: dict[str, Measure | Derived] = {
     ),
     "taxa_ruptura": Measure(
         "fato_estoque",
-        lambda ctx: safe_divide(count_if_distinct(_c("fl_ruptura"), _c("sk_produto")), F.count_distinct("sk_produto")),
+        lambda ctx: safe_divide(_members(ctx, "sk_produto", _c("fl_ruptura")), _members(ctx, "sk_produto")),
     ),
     # Logistics
     "otd_pct": Measure("fato_entrega", lambda ctx: _share(_c("fl_sla_atendido"), _any_row())),
@@ -216,7 +229,7 @@ def evaluate(
     refer to the ``using`` columns.  Groups absent from one table give NULL for
     its measures.
     """
-    ctx = context or Context()
+    ctx = replace(context or Context(), grouped_by=tuple(group_by))
     by_table: dict[str, list[str]] = {}
     for name in _expand(names):
         by_table.setdefault(MEASURES[name].table, []).append(name)

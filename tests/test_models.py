@@ -299,3 +299,14 @@ def test_measures_line_up_groups_missing_on_one_side(warehouse):
     rows = rows_by(evaluate(Star(warehouse), ["unidades_vendidas", "estoque_medio", "dias_cobertura"], ["sk_produto"]), "sk_produto")
     assert len(rows) == 3 and rows["DESCONHECIDO"]["estoque_medio"] is None
     assert sum(r["unidades_vendidas"] is None for r in rows.values()) == 1
+
+
+def test_products_in_a_group_of_one_product_are_told_by_a_flag(spark):
+    """Not one row per distinct count: no Expand where the groups are the products; other groups count as before."""
+    rows = [("a", "x", True), ("a", "y", False), ("b", "x", False), ("c", "x", None), (None, "y", True), ("b", "x", False)]
+    star = Star({"fato_estoque": spark.createDataFrame(rows, "sk_produto string, sk_loja string, fl_ruptura boolean")})
+    by_product = evaluate(star, ["taxa_ruptura"], ["sk_produto"])
+    assert {r["sk_produto"]: r["taxa_ruptura"] for r in by_product.collect()} == {"a": 1.0, "b": 0.0, "c": 0.0, None: None}
+    assert "Expand" not in by_product._jdf.queryExecution().executedPlan().toString()
+    by_store = rows_by(evaluate(star, ["taxa_ruptura"], ["sk_loja"]), "sk_loja")
+    assert by_store["x"]["taxa_ruptura"] == pytest.approx(1 / 3) and by_store["y"]["taxa_ruptura"] == 0.0
