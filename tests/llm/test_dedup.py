@@ -12,7 +12,7 @@ import pytest
 from llm.edits import within_limits
 from llm.lines import SIMILARITY, normal_line, op8, simhashes, within, without_repeats, word_edits
 from llm.ngram_join import fewest_agreements, one_of_each, op5
-from llm.substring import op10
+from llm.substring import op10, packed_places, places_of
 from llm.suffix import op1, suffix_array
 from tests.llm.corpus import SCHEMA, corpus, later_words, plain_words, repeats_of_bytes, shingles, text
 
@@ -53,6 +53,18 @@ def test_suffix_array_sorts_suffixes_of_stretches():
     assert suffixes == sorted(suffixes) and len(suffixes) == 300
 
 
+def test_places_in_order_pack_to_less_than_a_byte_and_a_half():
+    import zlib
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for places in (np.cumsum(rng.integers(1, 90, 5000)), rng.integers(0, 1 << 32, 300), np.zeros(0, np.int64), np.array([2**32 - 1, 0, 7])):
+        assert places_of(packed_places(places)).tolist() == places.tolist()
+    places = np.concatenate([np.cumsum(rng.integers(1, 90, 5000)), np.cumsum(rng.integers(1, 90, 5000))])  # two documents
+    assert len(zlib.compress(packed_places(places), 1)) < 1.5 * len(places)
+
+
 def test_substring_dedup_is_brute_force(docs, rows):
     want = Counter({(i, n, r, sha(t.encode())): c for (i, n, r, t), c in later_words(rows).items()})
     got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in op10(docs).collect())
