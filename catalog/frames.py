@@ -88,6 +88,8 @@ class Models(Mapping[str, DataFrame]):
             "int_clientes__unificados": silver.build_customers,
             "int_produtos__catalogo": silver.build_catalog,
             "fato_orcamento": facts.build_budget,
+            "fato_venda__by_natural": facts.sales_by_natural,
+            "fato_estoque__by_natural": facts.stock_by_natural,
             **DIMENSIONS,
             **{n: m.build for n, m in INCREMENTAL.items()},
         }

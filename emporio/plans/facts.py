@@ -45,8 +45,19 @@ def _date(dfs: Frames, cfg: WarehouseConfig, day: str | Column, alias: str = "sk
     return Lookup(dfs["dim_tempo"], day, "data_full", date_key, UNKNOWN_DATE, alias, bounded=True)
 
 
-def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
-    """``fato_venda``: one row per order item (G1)."""
+# Columns of a fact before it is stored: surrogate key, the natural key of the dimension's row, NULL on a miss.
+FOUND_KEYS = {"sk_produto": "__id_produto"}
+
+
+def found_surrogate(alias: str) -> Column:
+    """The surrogate ``alias`` of the natural key that was found."""
+    natural = F.col(FOUND_KEYS[alias])
+    miss = next(m for _, sk, m in DIMENSION_KEYS.values() if sk == alias)
+    return F.coalesce(F.when(natural.isNotNull(), surrogate_key(natural)), F.lit(miss)).alias(alias)
+
+
+def sales_by_natural(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
+    """``fato_venda`` with ``FOUND_KEYS``, for groups that are made before it is stored."""
     orders = dfs["int_vendas__pedidos_unificados"].drop("updated_at", "_ingested_at")
     items = dfs["stg_vendas__itens_pedido"].drop("updated_at")
     commissions = dfs["stg_rh__comissoes"]
@@ -65,7 +76,7 @@ def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
         _key(dfs, "dim_canal_venda", "canal_venda", bounded=True),
     )
     rows = orders.join(commissions, "id_pedido", "left").join(items, "id_pedido")
-    rows = star_lookup(rows, _key(dfs, "dim_produto", "id_produto"))
+    rows = star_lookup(rows, _key(dfs, "dim_produto", "id_produto", natural_alias=FOUND_KEYS["sk_produto"]))
     net, discount, status = F.col("valor_liquido_item"), F.col("desconto_item"), F.col("status")
     cost = F.col("qtd_vendida") * F.col("custo_unitario")
     return rows.select(
@@ -100,9 +111,15 @@ def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
         F.coalesce("valor_comissao", F.lit(0)).alias("valor_comissao"),
         "canal_venda",
         "_ingested_at",
+        *FOUND_KEYS.values(),
     )
 
 
+def build_sales(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
+    """``fato_venda``: one row per order item (G1)."""
+    return sales_by_natural(dfs, cfg).drop(*FOUND_KEYS.values())
+
+
 def daily_movements(movements: DataFrame) -> DataFrame:
     """Stock in and out per product, store and day."""
     qty = F.col("qtd")
@@ -113,12 +130,8 @@ def daily_movements(movements: DataFrame) -> DataFrame:
     )
 
 
-def build_stock(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
-    """``fato_estoque``: product, store and snapshot date.
-
-    ``stg_estoque__saldo_estoque`` may hold several dates per product and store
-    (see :func:`stock_snapshots`); each becomes a row.
-    """
+def stock_by_natural(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
+    """``fato_estoque`` with ``FOUND_KEYS``, for groups that are made before it is stored."""
     day = F.col("dt_ultima_atualizacao")
     moves = daily_movements(dfs["stg_estoque__movimentacoes"]).withColumnRenamed("dia", "dt_ultima_atualizacao")
     rows = join_aggregate(
@@ -129,7 +142,7 @@ def build_stock(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
     )
     rows = star_lookup(
         rows,
-        _key(dfs, "dim_produto", "id_produto"),
+        _key(dfs, "dim_produto", "id_produto", natural_alias=FOUND_KEYS["sk_produto"]),
         _key(dfs, "dim_loja", "id_loja"),
         _date(dfs, cfg, "dt_ultima_atualizacao"),
     )
@@ -152,9 +165,19 @@ def build_stock(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
         "qtd_saida_dia",
         "qtd_pedidos_movs",
         "_ingested_at",
+        *FOUND_KEYS.values(),
     )
 
 
+def build_stock(dfs: Frames, cfg: WarehouseConfig) -> DataFrame:
+    """``fato_estoque``: product, store and snapshot date.
+
+    ``stg_estoque__saldo_estoque`` may hold several dates per product and store
+    (see :func:`stock_snapshots`); each becomes a row.
+    """
+    return stock_by_natural(dfs, cfg).drop(*FOUND_KEYS.values())
+
+
 def stock_snapshots(balances: DataFrame) -> DataFrame:
     """Newest balance version per product, store and date over all Bronze batches.
 

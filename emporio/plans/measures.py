@@ -19,6 +19,7 @@ from emporio.functions.keys import NO_CAMPAIGN
 from emporio.functions.numeric import count_if_distinct, safe_divide, sum_if
 from emporio.operators.periods import period_shift, period_shifts
 from emporio.operators.ranking import dense_rank_by, share_of_total
+from emporio.plans.facts import found_surrogate
 from emporio.plans.star import Star
 
 
@@ -237,14 +238,17 @@ def evaluate(
 
     result: DataFrame | None = None
     for table, measures in by_table.items():
-        df = star.flat(table, [*group_by, *using])
+        # A surrogate key is made of what each group comes to: its 32 letters would travel with every part of a sum.
+        wide, found = star.by_natural(table, group_by)
+        df = wide.flat(table, [*group_by, *using])
         if table.startswith("dim_") and "fl_current" in df.columns:
             df = df.filter("fl_current")
         if where is not None:
             df = df.filter(where)
-        values = df.groupBy(*star.grouping(table, group_by)).agg(
-            *[MEASURES[m].expression(ctx).alias(m) for m in measures]
-        )
+        groups = [F.col(found[g]) if g in found else c for g, c in zip(group_by, star.grouping(table, group_by))]
+        values = df.groupBy(*groups).agg(*[MEASURES[m].expression(ctx).alias(m) for m in measures])
+        if found:
+            values = values.select(*[found_surrogate(g) if g in found else k for g, k in zip(group_by, keys)], *measures)
         result = values if result is None else _line_up(result, values, keys, measures)
     return result.select(*keys, *[_output(name).alias(name) for name in names])
 

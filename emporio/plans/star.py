@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from emporio.plans.facts import FOUND_KEYS
 
 # N:1 relationships, fact -> {dimension: (fact key, dimension key)}.
 RELATIONSHIPS: dict[str, dict[str, tuple[str, str]]] = {
@@ -56,7 +59,18 @@ class Star:
 
     def replacing(self, name: str, df: DataFrame) -> Star:
         """The same star with one table exchanged."""
-        return Star(ChainMap({name: df}, self.tables))
+        return Star(ChainMap({name: df, f"{name}__by_natural": None}, self.tables))
+
+    def by_natural(self, table: str, group_by: Sequence[str]) -> tuple[Star, dict[str, str]]:
+        """The star in which ``table`` still has natural keys, where it does, and those that tell groups of ``group_by``.
+
+        Of integral keys only: there no two have the same text, so none share a surrogate.
+        """
+        wide = self.tables.get(f"{table}__by_natural")
+        if wide is None:
+            return self, {}
+        found = {g: FOUND_KEYS[g] for g in group_by if g in FOUND_KEYS and isinstance(wide.schema[FOUND_KEYS[g]].dataType, IntegralType)}
+        return (self.replacing(table, wide), found) if found else (self, {})
 
     def _current(self, dim: str) -> DataFrame:
         df = self.tables[dim]

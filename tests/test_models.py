@@ -10,6 +10,7 @@ from conftest import at, day, rows_by, staged
 from emporio.config import WarehouseConfig
 from emporio.functions.keys import surrogate_key
 from emporio.operators.joins import orphans
+from emporio.plans.facts import build_sales, build_stock, sales_by_natural, stock_by_natural
 from emporio.plans.measures import Context, evaluate, freight_share_by_order, measure
 from emporio.plans.star import RELATIONSHIPS, Star
 from emporio.plans.warehouse import build_all
@@ -310,3 +311,25 @@ def test_products_in_a_group_of_one_product_are_told_by_a_flag(spark):
     assert "Expand" not in by_product._jdf.queryExecution().executedPlan().toString()
     by_store = rows_by(evaluate(star, ["taxa_ruptura"], ["sk_loja"]), "sk_loja")
     assert by_store["x"]["taxa_ruptura"] == pytest.approx(1 / 3) and by_store["y"]["taxa_ruptura"] == 0.0
+
+
+@pytest.mark.parametrize("names", [["unidades_vendidas", "estoque_medio", "taxa_ruptura"], ["taxa_devolucao", "total_pedidos"]])
+def test_groups_by_product_travel_under_the_natural_key(spark, warehouse, names):
+    """A product that the dimension lacks, and one with a NULL id, are one group; no part of a sum carries 32 letters."""
+    tables = staged(spark, TABLES | {"vendas.itens_pedido": [
+        *TABLES["vendas.itens_pedido"], item(90, 1, id_produto=777), item(91, 1, id_produto=778), item(92, 3, id_produto=None)]})
+    built = {**warehouse, **tables}
+    wide = {f"fato_{n}__by_natural": f(built, CFG) for n, f in (("venda", sales_by_natural), ("estoque", stock_by_natural))}
+    plain = {"fato_venda": build_sales(built, CFG), "fato_estoque": build_stock(built, CFG)}
+    assert [set(wide[f"{n}__by_natural"].columns) - set(df.columns) for n, df in plain.items()] == [{"__id_produto"}] * 2
+    before, now = (evaluate(Star({**built, **plain, **more}), names, ["sk_produto"]) for more in ({}, wide))
+    assert before.columns == now.columns and sorted(map(str, before.collect())) == sorted(map(str, now.collect()))
+    assert "DESCONHECIDO" in {r["sk_produto"] for r in now.collect()}
+    plan = now._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [__id_produto#" in plan and "Aggregate [sk_produto#" not in plan
+
+
+def test_a_replaced_fact_is_the_one_that_is_grouped(spark, warehouse):
+    star = Star({**warehouse, "fato_venda__by_natural": sales_by_natural(warehouse, CFG)})
+    none = star.replacing("fato_venda", warehouse["fato_venda"].filter("false"))
+    assert evaluate(none, ["unidades_vendidas"], ["sk_produto"]).count() == 0

@@ -50,6 +50,13 @@ def test_star_lookup(spark, spread, surrogate):
     assert {r["id"]: r["out"] for r in got} == {1: "S10", 2: "MISS", 3: "MISS", 4: "S10"}
 
 
+def test_a_lookup_tells_the_natural_key_it_found(spark):
+    fact = spark.createDataFrame([(1, 10), (2, None), (3, 11)], "id int, fk int")
+    dim = spark.createDataFrame([(10,), (10,), (None,)], "nk int")
+    found = star_lookup(fact, lookup(dim, surrogate=lambda key: key.cast("string"), natural_alias="found"))
+    assert sorted(map(tuple, found.collect())) == [(1, 10, "10", 10), (2, None, "MISS", None), (3, 11, "MISS", None)]
+
+
 def test_hot_key_of_a_lookup_is_split(spark):
     """A third of the rows on one key, and a dimension too large to broadcast."""
     settings = {
