@@ -155,6 +155,33 @@ def test_distances_in_batches_are_edit_distances():
         assert word_edits(a.split(" "), b.split(" ")) >= lev(a, b)
 
 
+def test_edit_distances_of_many_steps_go_together(monkeypatch):
+    """Lines that share nine tenths of their words and are not similar: their pairs are put to edit distance in few batches."""
+    import numpy as np
+
+    from llm import lines as module
+
+    rng, calls = random.Random(8), []
+    same = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(54)) for _ in range(5)]
+    lines = []
+    for k in range(40):
+        w = same[k % 5].split()
+        for at in rng.sample(range(54), 8):  # more than a tenth of the letters
+            w[at] = "".join(rng.choice("stuvwxyz") for _ in range(6 + k % 2))
+        lines.append(" ".join(w))
+    lines.append(lines[0].replace("a", "b", 3))
+    monkeypatch.setattr(module, "within_limits", lambda pairs, *a: calls.append(len(pairs)) or within_limits(pairs, *a))
+    n = len(lines)
+    found = module.similar_pairs(np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool), np.arange(n), lines, SIMILARITY)
+    up = list(range(n))
+    for a in range(n):
+        for b in range(a):
+            if within(lines[a], lines[b], int((1 - SIMILARITY) * max(len(lines[a]), len(lines[b])) + 1e-9)):
+                up = [up[b] if x == up[a] else x for x in up]
+    assert all((found.find(a) == found.find(b)) == (up[a] == up[b]) for a in range(n) for b in range(n))
+    assert sum(calls) > 50 and len(calls) <= 3
+
+
 def test_equal_and_close_lines_go(spark):
     rng = random.Random(5)
     long = " ".join(plain_words(text(rng, 80)))
