@@ -172,7 +172,7 @@ def test_edit_distances_of_many_steps_go_together(monkeypatch):
     lines.append(lines[0].replace("a", "b", 3))
     monkeypatch.setattr(module, "within_limits", lambda pairs, *a: calls.append(len(pairs)) or within_limits(pairs, *a))
     n = len(lines)
-    found = module.similar_pairs(np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool), np.arange(n), lines, SIMILARITY)
+    found = module.similar_pairs(np.zeros(n, np.int64), np.ones((n, 2), np.uint64), np.arange(n), lines, SIMILARITY)
     up = list(range(n))
     for a in range(n):
         for b in range(a):
@@ -182,6 +182,62 @@ def test_edit_distances_of_many_steps_go_together(monkeypatch):
     assert sum(calls) > 50 and len(calls) <= 3
 
 
+def test_pieces_of_a_block_meet_where_lengths_are_similar(monkeypatch):
+    """Every pair of similar lengths is in one task or more, a line goes to few pieces, and joint tasks compare the same pairs."""
+    import numpy as np
+    import pandas as pd
+
+    from llm import lines as module
+
+    monkeypatch.setattr(module, "RUN", 16)
+    rng = np.random.default_rng(6)
+    length = rng.integers(60, 1200, 700)
+    key, block = rng.permutation(700).astype(np.uint64), np.zeros(700, np.uint32)
+    # One block that all lines have, and five that most of them have.
+    low, key, size = (np.concatenate([x] + [y] * 5) for x, y in ((block, block[:600]), (key, key[:600]), (length, length[:600])))
+    low[700:] += 1 + np.arange(3000, dtype=np.uint32) // 600
+    payload = low.tobytes() + key.tobytes() + size.astype(np.uint16).tobytes()
+    out = module._shared(SIMILARITY)(pd.DataFrame({"bucket": [0], "payload": [payload]}))
+    assert len(out) == 3700
+    of = dict(zip(key.tolist(), size.tolist()))
+    rows = [(r.least, min(r.own, k), max(r.own, k), r.meet, r.own, r.id) for r in out.itertuples() for k in range(r.low, r.high + 1)]
+    assert (out["high"] - out["low"] + 1).mean() < 0.4 * (out["own"].max() + 1)
+    table = pd.DataFrame(rows, columns=["least", "bi", "bj", "meet", "own", "id"]).sort_values(["least", "bi", "bj", "id"], kind="stable").reset_index(drop=True)
+    lists = table.groupby(["least", "bi", "bj", "id"], sort=True).ngroup().to_numpy()
+    one = table.groupby(["least", "bi", "bj", "id"], sort=True).first().reset_index()
+    group = one.groupby(["least", "bi", "bj"], sort=True).ngroup().to_numpy()
+    task, has, row = module.shared_tasks(group, one["bi"].to_numpy(), one["bj"].to_numpy(), lists, table["meet"].to_numpy(), table["own"].to_numpy())
+    assert len(row) < len(table)
+    got, ids = set(), one["id"].to_numpy()[row]
+    for t in np.unique(task):
+        at = np.flatnonzero(task == t)
+        for x, y in zip(*np.nonzero((has[at][:, None] & has[at][None, :, ::-1] != 0).any(axis=2))):
+            got.add((int(ids[at[x]]), int(ids[at[y]])))
+    similar = {(a, b) for a in of for b in of if a != b and abs(of[a] - of[b]) <= 0.1 * max(of[a], of[b])}
+    assert similar <= got
+
+
+def test_texts_go_to_tasks_in_shares(spark, monkeypatch):
+    """Lines to compare are stored before they are exchanged, compressed, and a share of the tasks goes after another."""
+    from llm import lines as module
+
+    names, real = [], module.stored
+
+    def noted(df, name, *a, **b):
+        names.append((name, b.get("compression")))
+        return real(df, name, *a, **b)
+
+    monkeypatch.setattr(module, "stored", noted)
+    rng = random.Random(2)
+    rows = []
+    for k in range(12):
+        line = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(20))
+        rows += [(2 * k, line), (2 * k + 1, line[:-4] + "wxyz")]
+    got = {r.doc_id: r.n_removed for r in op8(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: k % 2 for k in range(24)}
+    assert ("tasks", "zstd") in names and sum(n == "edges" for n, _ in names) > 1
+
+
 def test_equal_and_close_lines_go(spark):
     rng = random.Random(5)
     long = " ".join(plain_words(text(rng, 80)))
